@@ -23,7 +23,7 @@ def number_rows(
     are numbered inside a bucket and shifted by the size of the buckets before
     it, so one task only holds a bucket, or one row per bucket of a group.
 
-    ``total`` adds the group's size. Keys must not be null.
+    ``total`` adds the group's size. Keys and buckets must not be null.
     """
     names = [f"_bucket{i}" for i in range(len(buckets))]
     cut = df.withColumns(dict(zip(names, buckets)))
@@ -36,13 +36,8 @@ def number_rows(
             "_total": F.sum("_rows").over(group),
         }
     )
-    # One row per bucket already. Saying so lets Spark drop the join below from
-    # plans that use neither number nor total.
-    shifts = shifts.groupBy(*keys, *names).agg(
-        F.max("_before").alias("_before"), F.max("_total").alias("_total")
-    )
     inside = F.row_number().over(Window.partitionBy(*keys, *names).orderBy(*order_by))
-    out = cut.join(shifts, [*keys, *names], "left").withColumn(
+    out = cut.join(shifts, [*keys, *names]).withColumn(
         number, F.col("_before") + inside
     )
     if total:

@@ -19,7 +19,7 @@ from basketloom.operators import recommend as lists
 from basketloom.operators import reorder, stats
 from basketloom.operators.names import with_product_names
 from basketloom.plans.pipeline import popularity_sink, write_dashboard
-from basketloom.sources.adapters import event_tables, sales_tables
+from basketloom.sources.adapters import ADAPTERS
 from basketloom.sources.durable import durable, shared_dir
 from basketloom.sources.models import load_model, save_model
 from basketloom.sources.tables import Tables, load_tables, write_tables
@@ -32,13 +32,31 @@ _made: dict[tuple[str, str, str], object] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], object]) -> object:
-    """A model or input made once per session and folder; its queries share it."""
+    """Tables, inputs or a model made once per session and folder, for all its queries."""
     key = (spark.sparkContext.applicationId, sf_dir, what)
     if key not in _made:
         _made[key] = make()
     return _made[key]
 
 
+def _fresh_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _tables(spark: SparkSession, sf_dir: str, kind: str) -> Tables:
+    return _once(
+        spark, sf_dir, kind, lambda: ADAPTERS[kind](spark, sf_dir, _fresh_path(spark, kind))
+    )
+
+
+def sales_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return _tables(spark, sf_dir, "sales")
+
+
+def event_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return _tables(spark, sf_dir, "events")
+
+
 def _on_sales(name: str) -> Callable[[Callable[[Tables], DataFrame]], None]:
     def register(build: Callable[[Tables], DataFrame]) -> None:
         QUERIES[name] = lambda spark, sf_dir: build(sales_tables(spark, sf_dir))
@@ -247,10 +265,6 @@ def _rate_reorder_list(t: Tables) -> DataFrame:
 # Sources and sinks: written by Spark to the shared folder and read back
 
 
-def _fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def _scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _fresh_path(spark, "csv")
     write_tables(event_tables(spark, sf_dir), path, "csv")
@@ -325,9 +339,11 @@ def _forest(spark: SparkSession, sf_dir: str) -> RandomForestClassificationModel
     )
 
 
-def prepare_models(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], object]]:
-    """What the queries below share, in the order it is to be made."""
+def prepare_steps(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], object]]:
+    """What queries share, in the order it is to be made."""
     return {
+        "sales_tables": lambda: sales_tables(spark, sf_dir),
+        "event_tables": lambda: event_tables(spark, sf_dir),
         "interactions": lambda: _bought(spark, sf_dir),
         "truth": lambda: _truth(spark, sf_dir),
         "als": lambda: _als(spark, sf_dir),

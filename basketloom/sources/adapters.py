@@ -1,16 +1,20 @@
-"""The six tables derived from general sales and event tables.
+"""The six tables derived from general sales and event tables, written once.
 
-Nothing here is computed until a query needs it, and Catalyst drops what a query
-does not use: every number a column needs comes by an outer join on unique keys.
+Deriving them numbers every order and line, which every query would repeat. So
+the result is written to a folder all executors share, and queries read that.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketloom.functions.numbering import number_rows
-from basketloom.sources.tables import Tables
+from basketloom.sources.durable import durable
+from basketloom.sources.schemas import AISLES, DEPARTMENTS, ORDERS, PRODUCTS
+from basketloom.sources.tables import Tables, table_path, write_table
 
 # Widths of the numbering buckets (see number_rows) as powers of two: a group is
 # cut where the ordering column passes a multiple of the width.
@@ -22,6 +26,17 @@ def _read(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path.rstrip('/')}/{name}.parquet")
 
 
+def _stored(df: DataFrame, path: str, name: str) -> DataFrame:
+    """Write a table and go on with what was written."""
+    location = table_path(path, name, "parquet")
+    write_table(df, location)
+    return df.sparkSession.read.schema(df.schema).parquet(location)
+
+
+def _as(df: DataFrame, schema) -> DataFrame:
+    return df.select([F.col(f.name).cast(f.dataType) for f in schema])
+
+
 def _eval_set() -> Column:
     """A user's last order is the next order to predict; every fifth user's is held back."""
     return (
@@ -31,65 +46,72 @@ def _eval_set() -> Column:
     )
 
 
-def _first_orders(lines: DataFrame) -> DataFrame:
-    """Number of the order in which a user bought a product first."""
-    return lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first"))
-
-
-def _tables(orders: DataFrame, baskets: DataFrame, by_position: list[str],
-            buckets: list[Column], dims: dict[str, DataFrame]) -> Tables:
-    """Orders and distinct (order, product) baskets to the final line tables."""
-    lines = number_rows(baskets, ["order_id"], by_position, buckets, "add_to_cart_order")
+def _store_lines(
+    baskets: DataFrame, orders: DataFrame, order_by: list[str], buckets: list[Column], path: str
+) -> DataFrame:
+    """Distinct (order, product) baskets to the line table, one folder per evaluation set."""
     header = orders.select("order_id", "user_id", "order_number", "eval_set")
-    lines = lines.join(header, "order_id")
-    lines = lines.join(
-        _first_orders(baskets.join(header, "order_id")), ["user_id", "product_id"], "left"
-    ).select(
-        "order_id",
-        "product_id",
-        F.col("add_to_cart_order").cast("int"),
-        (F.col("order_number") > F.col("_first")).cast("int").alias("reordered"),
-        "eval_set",
-    )
-    parts = {s: lines.where(F.col("eval_set") == s).drop("eval_set") for s in ("prior", "train")}
-    orders = orders.select(
-        "order_id",
-        "user_id",
-        "eval_set",
-        F.col("order_number").cast("int"),
-        F.col("order_dow").cast("int"),
-        F.col("order_hour_of_day").cast("int"),
+    placed = durable(baskets.join(header, "order_id"))
+    first = placed.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first"))
+    lines = (
+        number_rows(placed, ["order_id"], order_by, buckets, "add_to_cart_order")
+        .join(first, ["user_id", "product_id"])
+        .select(
+            "order_id",
+            "product_id",
+            F.col("add_to_cart_order").cast("int"),
+            (F.col("order_number") > F.col("_first")).cast("int").alias("reordered"),
+            "eval_set",
+        )
     )
-    return Tables(orders, parts["prior"], parts["train"], **dims)
+    location = table_path(path, "order_products", "parquet")
+    lines.write.mode("overwrite").partitionBy("eval_set").parquet(location)
+    return baskets.sparkSession.read.schema(lines.schema).parquet(location)
 
 
 def _ranked_names(part: DataFrame, column: str, id_name: str, name: str) -> DataFrame:
     # Over the distinct names of a closed list (25 brands, 6 types), not over parts.
-    order = Window.orderBy(name)
+    order = Window.partitionBy(F.lit(0)).orderBy(name)
     names = part.select(F.col(column).alias(name)).distinct()
-    return names.select(F.row_number().over(order).cast("int").alias(id_name), name)
-
-
-def _dimensions(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    part = _read(spark, path, "part")
-    aisles = _ranked_names(part, "p_brand", "aisle_id", "aisle")
-    departments = _ranked_names(part, "p_type", "department_id", "department")
+    return names.select(F.row_number().over(order).alias(id_name), name)
+
+
+def _store(
+    spark: SparkSession,
+    source: str,
+    path: str,
+    orders: DataFrame,
+    baskets: DataFrame,
+    order_by: list[str],
+    buckets: list[Column],
+) -> Tables:
+    part = _read(spark, source, "part")
+    aisles = _stored(_as(_ranked_names(part, "p_brand", "aisle_id", "aisle"), AISLES), path, "aisles")
+    departments = _stored(
+        _as(_ranked_names(part, "p_type", "department_id", "department"), DEPARTMENTS),
+        path,
+        "departments",
+    )
     products = (
-        part.join(aisles, part.p_brand == aisles.aisle)
-        .join(departments, part.p_type == departments.department)
-        .select(
-            F.col("p_partkey").alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            "aisle_id",
-            "department_id",
+        part.withColumnsRenamed(
+            {"p_partkey": "product_id", "p_name": "product_name",
+             "p_brand": "aisle", "p_type": "department"}
         )
+        .join(aisles, "aisle")
+        .join(departments, "department")
+    )
+    products = _stored(_as(products, PRODUCTS), path, "products")
+    orders = _stored(_as(orders, ORDERS), path, "orders")
+    lines = _store_lines(baskets, orders, order_by, buckets, path)
+    prior, train = (
+        lines.where(F.col("eval_set") == s).drop("eval_set") for s in ("prior", "train")
     )
-    return {"products": products, "aisles": aisles, "departments": departments}
+    return Tables(orders, prior, train, products, aisles, departments)
 
 
-def sales_tables(spark: SparkSession, path: str) -> Tables:
+def store_sales(spark: SparkSession, source: str, path: str) -> Tables:
     """From ``orders``, ``lineitem`` and ``part``: many products, few repeats."""
-    headers = _read(spark, path, "orders").select(
+    headers = _read(spark, source, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), "o_orderdate"
     )
     orders = number_rows(
@@ -103,21 +125,21 @@ def sales_tables(spark: SparkSession, path: str) -> Tables:
         }
     )
     baskets = (
-        _read(spark, path, "lineitem")
+        _read(spark, source, "lineitem")
         .groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"))
         .agg(F.min("l_linenumber").alias("_position"))
     )
     buckets = [F.col("_position"), F.shiftright("product_id", PRODUCT_BUCKET_BITS)]
-    return _tables(orders, baskets, ["_position", "product_id"], buckets, _dimensions(spark, path))
+    return _store(spark, source, path, orders, baskets, ["_position", "product_id"], buckets)
 
 
-def event_tables(spark: SparkSession, path: str) -> Tables:
+def store_events(spark: SparkSession, source: str, path: str) -> Tables:
     """From ``events`` and ``part``: few products, many repeats, all hours.
 
     One order per user and day. Events cover one month, so the day of the month
     identifies an order of a user, and a user has at most 31 orders.
     """
-    events = _read(spark, path, "events").select(
+    events = _read(spark, source, "events").select(
         "user_id",
         "event_id",
         "ts",
@@ -139,4 +161,10 @@ def event_tables(spark: SparkSession, path: str) -> Tables:
         F.min("event_id").alias("_position")
     )
     buckets = [F.shiftright("_position", EVENT_BUCKET_BITS)]
-    return _tables(orders, baskets, ["_position"], buckets, _dimensions(spark, path))
+    return _store(spark, source, path, orders, baskets, ["_position"], buckets)
+
+
+ADAPTERS: dict[str, Callable[[SparkSession, str, str], Tables]] = {
+    "sales": store_sales,
+    "events": store_events,
+}
