@@ -35,7 +35,7 @@ def number_rows(
             "_before": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)),
             "_total": F.sum("_rows").over(group),
         }
-    )
+    ).drop("_rows")
     inside = F.row_number().over(Window.partitionBy(*keys, *names).orderBy(*order_by))
     out = cut.join(shifts, [*keys, *names]).withColumn(
         number, F.col("_before") + inside

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -89,21 +91,26 @@ def tune_als(
     truth: DataFrame,
     grid: Sequence[tuple[int, float]] = tuple(GRID),
     k: int = 10,
+    parallelism: int = 3,
 ) -> DataFrame:
     """Metrics of each (rank, reg), best NDCG first and the earlier setting on ties.
 
     ``DF[position, rank, reg, n_users, precision, recall, ndcg]``. Every setting
-    reads the inputs again: make them durable first. One row per setting comes
-    back to the driver.
+    reads the inputs again: make them durable first. ``parallelism`` settings are
+    fitted at a time; one row per setting comes back to the driver.
     """
+    spark = interactions.sparkSession
     users = truth.select("user_id").distinct()
-    results = []
-    for position, (rank, reg) in enumerate(grid):
+
+    def judge(setting: tuple[int, float]) -> tuple:
+        rank, reg = setting
         model = fit_als(interactions, rank=rank, reg=reg)
-        row = ranking_metrics(recommended_lists(model, k, users), truth, k).first()
-        results.append((position, rank, reg, *row))
-    rows = interactions.sparkSession.createDataFrame(
-        results,
+        return tuple(ranking_metrics(recommended_lists(model, k, users), truth, k).first())
+
+    with ThreadPool(parallelism) as pool:
+        metrics = pool.map(inheritable_thread_target(spark)(judge), grid, chunksize=1)
+    rows = spark.createDataFrame(
+        [(i, *setting, *row) for i, (setting, row) in enumerate(zip(grid, metrics))],
         "position int, rank int, reg double, n_users bigint,"
         " precision double, recall double, ndcg double",
     )

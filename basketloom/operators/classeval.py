@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The two sets of thresholds tried, steps of 0.05.
@@ -12,14 +12,13 @@ THRESHOLDS = [round(0.05 * i, 2) for i in range(2, 15)]
 WIDE_THRESHOLDS = [round(0.05 * i, 2) for i in range(2, 19)]
 
 
+_CELLS = ["tp", "fp", "fn", "tn"]
+
+
 def _counts(positive: Column) -> list[Column]:
-    label = F.col("label")
-    return [
-        F.count_if(positive & (label == 1)).alias("tp"),
-        F.count_if(positive & (label == 0)).alias("fp"),
-        F.count_if(~positive & (label == 1)).alias("fn"),
-        F.count_if(~positive & (label == 0)).alias("tn"),
-    ]
+    yes, no = F.col("label") == 1, F.col("label") == 0
+    tests = [positive & yes, positive & no, ~positive & yes, ~positive & no]
+    return [F.count_if(test).alias(cell) for cell, test in zip(_CELLS, tests)]
 
 
 def with_rates(counts: DataFrame) -> DataFrame:
@@ -57,41 +56,22 @@ def threshold_sweep(
 ) -> DataFrame:
     """Counts and rates for each threshold, in one pass over the rows.
 
-    A row is counted once, under the number of thresholds it reaches; the counts
-    at a threshold are running sums over these few levels.
+    All thresholds are counted side by side in one aggregate, so a task hands on
+    a single row and nothing is multiplied or shuffled by threshold.
     """
-    steps = sorted(set(thresholds))
-    reached = sum(
-        (F.col("probability") >= t).cast("int") for t in steps
-    )
-    rows = scored.where(F.col("probability").isNotNull() & F.col("label").isin(0.0, 1.0))
-    levels = rows.groupBy(reached.alias("level")).agg(
-        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
-    )
-    names = F.array(F.lit(None).cast("double"), *[F.lit(t) for t in steps])
-    every = scored.sparkSession.range(0, len(steps) + 1, 1, 1).select(
-        F.col("id").cast("int").alias("level"), F.get(names, F.col("id").cast("int")).alias("threshold")
-    )
-    filled = every.join(levels, "level", "left").fillna(0, subset=["pos", "neg"])
-    # One row per threshold from here on.
-    whole = Window.partitionBy(F.lit(0))
-    upwards = whole.orderBy(F.desc("level"))
-    counts = filled.select(
-        "threshold",
-        F.sum("pos").over(upwards).alias("tp"),
-        F.sum("neg").over(upwards).alias("fp"),
-        F.sum("pos").over(whole).alias("_pos"),
-        F.sum("neg").over(whole).alias("_neg"),
-    ).where(F.col("threshold").isNotNull())
-    return with_rates(
-        counts.select(
-            "threshold",
-            "tp",
-            "fp",
-            (F.col("_pos") - F.col("tp")).alias("fn"),
-            (F.col("_neg") - F.col("fp")).alias("tn"),
-        )
+    steps = sorted(set(float(t) for t in thresholds))
+    sums = ["count_if(label = 1) AS pos", "count_if(label = 0) AS neg"]
+    for i, t in enumerate(steps):
+        sums.append(f"count_if(probability >= {t}D AND label = 1) AS tp{i}")
+        sums.append(f"count_if(probability >= {t}D AND label = 0) AS fp{i}")
+    rows = ", ".join(f"{t}D, tp{i}, fp{i}" for i, t in enumerate(steps))
+    counts = (
+        scored.where("probability IS NOT NULL")
+        .agg(*[F.expr(s) for s in sums])
+        .selectExpr(f"stack({len(steps)}, {rows}) AS (threshold, tp, fp)", "pos", "neg")
+        .selectExpr("threshold", "tp", "fp", "pos - tp AS fn", "neg - fp AS tn")
     )
+    return with_rates(counts)
 
 
 def best_threshold(sweep: DataFrame) -> DataFrame:

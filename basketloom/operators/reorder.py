@@ -128,7 +128,14 @@ def assemble(df: DataFrame) -> DataFrame:
 def fit_reorder(
     dataset: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED
 ) -> RandomForestClassificationModel:
-    """Random forest on a :func:`reorder_dataset`; make large datasets durable first."""
+    """Random forest on a :func:`reorder_dataset` that was made durable.
+
+    Growing trees costs far more per row than reading it, so a dataset of fewer
+    partitions than cores is spread out.
+    """
+    cores = dataset.sparkSession.sparkContext.defaultParallelism
+    if dataset.rdd.getNumPartitions() < cores:
+        dataset = dataset.repartition(cores, "user_id", "product_id")
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed
     )
