@@ -54,7 +54,7 @@ def fit_als(
         numItemBlocks=blocks,
         checkpointInterval=2,
     )
-    return als.fit(interactions)
+    return als.fit(interactions.select("user_id", "product_id", "purchases"))
 
 
 def recommend(model: ALSModel, k: int = 10, users: DataFrame | None = None) -> DataFrame:

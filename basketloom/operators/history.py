@@ -12,7 +12,9 @@ from basketloom.sources.tables import Tables
 def restrict(df: DataFrame, users: DataFrame | None) -> DataFrame:
     """Rows of the given users; all rows when ``users`` is None.
 
-    A semi join: repeated users do not multiply rows.
+    A semi join, so ``users`` may repeat. Give them straight from a table where
+    possible: AQE splits a user with very many rows only between plain shuffles,
+    not against the outcome of an aggregate such as ``distinct``.
     """
     return df if users is None else df.join(users.select("user_id"), "user_id", "left_semi")
 
@@ -40,6 +42,24 @@ def history(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return lines.join(orders.select("order_id", "user_id", "order_number"), "order_id")
 
 
+def user_products(lines: DataFrame) -> DataFrame:
+    """Everything the operators need to know of a (user, product) pair, from :func:`history`.
+
+    ``DF[user_id, product_id, purchases, reorders, marked, first_order, last_order,
+    avg_cart_position]``. One aggregate, combined before the shuffle, from which
+    Spark drops the columns a caller does not select. Several operators on the
+    same lines can share it: made durable, it replaces the lines and their join.
+    """
+    return lines.groupBy("user_id", "product_id").agg(
+        F.count("*").alias("purchases"),
+        F.sum("reordered").alias("reorders"),
+        F.count("reordered").alias("marked"),
+        F.min("order_number").alias("first_order"),
+        F.max("order_number").alias("last_order"),
+        F.avg("add_to_cart_order").alias("avg_cart_position"),
+    )
+
+
 def interactions(
     orders: DataFrame,
     prior: DataFrame,
@@ -48,7 +68,7 @@ def interactions(
 ) -> DataFrame:
     """How often each user bought each product: ``DF[user_id, product_id, purchases]``."""
     lines = history(prior, orders_in(orders, "prior", max_user_id, users))
-    return lines.groupBy("user_id", "product_id").agg(F.count("*").alias("purchases"))
+    return user_products(lines).select("user_id", "product_id", "purchases")
 
 
 def purchase_history(tables: Tables, users: DataFrame | None = None) -> DataFrame:

@@ -11,20 +11,23 @@ from basketloom.sources.tables import Tables
 
 def popularity_table(tables: Tables, k: int = 100) -> DataFrame:
     """The ``k`` most bought products with their counts."""
-    return top_products(tables.prior, tables.products, k)
+    return top_products(product_counts(tables.prior), tables.products, k)
 
 
-def popular_list(lines: DataFrame, k: int = 10) -> DataFrame:
-    """One row ``DF[predicted: array]``: the ``k`` most bought product ids, best first."""
-    best = product_counts(lines).orderBy(*by_count()).limit(k)
+def popular_list(counts: DataFrame, k: int = 10) -> DataFrame:
+    """One row ``DF[predicted: array]``: the ``k`` most bought product ids, best first.
+
+    ``counts`` is ``DF[product_id, n]``.
+    """
+    best = counts.orderBy(*by_count()).limit(k)
     ranked = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "product_id")))
     return best.agg(F.transform(ranked, lambda r: r["product_id"]).alias("predicted"))
 
 
-def popularity_recommendations(lines: DataFrame, users: DataFrame, k: int = 10) -> DataFrame:
+def popularity_recommendations(counts: DataFrame, users: DataFrame, k: int = 10) -> DataFrame:
     """The same ``k`` products for every user: ``DF[user_id, predicted: array]``.
 
     The list is a scalar subquery, computed once and added to the users as a
     constant: no join and no shuffle of the users.
     """
-    return users.select("user_id", popular_list(lines, k).scalar().alias("predicted"))
+    return users.select("user_id", popular_list(counts, k).scalar().alias("predicted"))

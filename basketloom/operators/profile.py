@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketloom.operators.history import history, orders_in
+from basketloom.operators.history import history, orders_in, restrict, user_products
 from basketloom.sources.tables import Tables
 
 
@@ -35,20 +35,11 @@ def _percent(part: Column, whole: Column) -> Column:
 
 
 def basic_customer_aggs(pairs: DataFrame) -> DataFrame:
-    """Lines, distinct products and reorder rate per user from per-(user, product) sums."""
+    """Lines, distinct products and reorder rate per user, from ``user_products``."""
     return pairs.groupBy("user_id").agg(
-        F.sum("n").alias("purchases"),
+        F.sum("purchases").alias("purchases"),
         F.count("product_id").alias("unique_products"),
-        F.try_divide(F.sum("again"), F.sum("marked")).alias("reorder_rate"),
-    )
-
-
-def product_sums(lines: DataFrame) -> DataFrame:
-    """Lines and reorders per (user, product): the one pass over the lines."""
-    return lines.groupBy("user_id", "product_id").agg(
-        F.count("*").alias("n"),
-        F.sum("reordered").alias("again"),
-        F.count("reordered").alias("marked"),
+        F.try_divide(F.sum("reorders"), F.sum("marked")).alias("reorder_rate"),
     )
 
 
@@ -64,7 +55,7 @@ def _order_habits(orders: DataFrame) -> DataFrame:
     )
 
 
-def _line_habits(lines: DataFrame, products: DataFrame) -> DataFrame:
+def _line_habits(pairs: DataFrame, products: DataFrame) -> DataFrame:
     """Purchases, distinct products, reorder rate and favourite aisle and department.
 
     Every product belongs to one aisle row of its user, so the aisle rows also
@@ -74,38 +65,44 @@ def _line_habits(lines: DataFrame, products: DataFrame) -> DataFrame:
     places = products.select(
         "product_id", "aisle_id", "department_id", F.lit(True).alias("_known")
     )
-    pairs = product_sums(lines).join(places, "product_id", "left")
     counts = favourite_counts(
-        pairs,
+        pairs.join(places, "product_id", "left"),
         ["aisle_id", "department_id"],
         [
-            F.sum("n").alias("n"),
-            F.sum(F.when(F.col("_known"), F.col("n")).otherwise(0)).alias("n_known"),
+            F.sum("purchases").alias("n"),
+            F.sum(F.when(F.col("_known"), F.col("purchases")).otherwise(0)).alias("n_known"),
             F.count("product_id").alias("n_products"),
-            F.sum("again").alias("again"),
+            F.sum("reorders").alias("reorders"),
             F.sum("marked").alias("marked"),
         ],
     )
     once = F.col("_no_aisle_id") == 0
-    total = {c: F.sum(F.when(once, F.col(c))) for c in ("n", "n_products", "again", "marked")}
+    total = {c: F.sum(F.when(once, F.col(c))) for c in ("n", "n_products", "reorders", "marked")}
     return counts.groupBy("user_id").agg(
         total["n"].alias("purchases"),
         total["n_products"].alias("unique_products"),
-        F.try_divide(total["again"], total["marked"]).alias("reorder_rate"),
+        F.try_divide(total["reorders"], total["marked"]).alias("reorder_rate"),
         _favourite("aisle_id", "n_known").alias("aisle_top"),
         _favourite("department_id", "n_known").alias("department_top"),
     )
 
 
-def customer_profile(tables: Tables, users: DataFrame | None = None) -> DataFrame:
+def customer_profile(
+    tables: Tables, users: DataFrame | None = None, pairs: DataFrame | None = None
+) -> DataFrame:
     """One row per user with prior orders: sizes, reorder rate and favourites with shares.
 
     Shares of aisle and department are of all lines, those of day and hour of
     all orders. Without a known favourite the name is ``Unknown`` and the share null.
+    ``pairs`` are the ``user_products`` of the prior lines, where they exist already.
     """
     orders = orders_in(tables.orders, "prior", users=users)
+    if pairs is None:
+        pairs = user_products(history(tables.prior, orders))
+    else:
+        pairs = restrict(pairs, users)
     habits = _order_habits(orders).join(
-        _line_habits(history(tables.prior, orders), tables.products), "user_id", "left"
+        _line_habits(pairs, tables.products), "user_id", "left"
     )
     flat = habits.select(
         "*",

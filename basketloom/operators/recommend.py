@@ -12,8 +12,11 @@ from basketloom.operators.names import with_product_names
 
 def list_rows(predicted: DataFrame) -> DataFrame:
     """Lists as rows: ``DF[user_id, product_id, rank]``, ranks from 1."""
-    return predicted.select("user_id", F.posexplode("predicted").alias("rank", "product_id")).select(
-        "user_id", "product_id", (F.col("rank") + 1).alias("rank")
+    # Outer, then without the empty lists: the plain form filters on the size of
+    # the list first, which computes a list that is a subquery twice.
+    rows = predicted.select("user_id", F.posexplode_outer("predicted").alias("at", "product_id"))
+    return rows.where(F.col("at").isNotNull()).select(
+        "user_id", "product_id", (F.col("at") + 1).alias("rank")
     )
 
 

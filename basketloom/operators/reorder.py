@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from basketloom.functions.splits import split_name
 from basketloom.operators.history import (
     actual_sets,
-    cohort_users,
     history,
     last_orders,
     orders_in,
+    restrict,
+    user_products,
 )
 from basketloom.operators.names import with_product_names
 from basketloom.operators.recommend import topk_per_user
@@ -41,16 +42,6 @@ THRESHOLD = 0.20
 SALTS = 8
 
 
-def user_product_aggs(lines: DataFrame) -> DataFrame:
-    """Purchases, first and last order and mean cart position per (user, product)."""
-    return lines.groupBy("user_id", "product_id").agg(
-        F.count("*").alias("product_purchases"),
-        F.min("order_number").alias("first_order"),
-        F.max("order_number").alias("last_order"),
-        F.avg("add_to_cart_order").alias("avg_cart_position"),
-    )
-
-
 def _with_user_orders(pairs: DataFrame, orders: DataFrame) -> DataFrame:
     """Join each user's order total to the user's products.
 
@@ -79,11 +70,21 @@ def reorder_features(
     prior: DataFrame,
     max_user_id: int | None = None,
     users: DataFrame | None = None,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
-    """The seven features of every (user, product) bought before; for training and serving."""
-    chosen = orders_in(orders, "prior", max_user_id, users)
-    pairs = user_product_aggs(history(prior, chosen))
-    return _derived(_with_user_orders(pairs, chosen)).select("user_id", "product_id", *FEATURES)
+    """The seven features of every (user, product) bought before; for training and serving.
+
+    ``pairs`` are the ``user_products`` of the chosen users' prior lines, where
+    they exist already.
+    """
+    if pairs is None:
+        pairs = user_products(history(prior, orders_in(orders, "prior", max_user_id, users)))
+    pairs = pairs.withColumnRenamed("purchases", "product_purchases")
+    # The join keeps the users of the pairs, so the totals need no list of users.
+    totals = orders_in(orders, "prior", max_user_id)
+    return _derived(_with_user_orders(pairs, totals)).select(
+        "user_id", "product_id", *FEATURES, *(c for c in ["label"] if c in pairs.columns)
+    )
 
 
 def reorder_dataset(
@@ -92,22 +93,23 @@ def reorder_dataset(
     train: DataFrame,
     labelled_only: bool = True,
     max_user_id: int | None = None,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """Features and ``label``: 1.0 when the product is in the user's next order, else 0.0.
 
     With ``labelled_only`` users without a next order are left out; they could
     only have label 0. They are left out before the lines are joined, and the
     label is joined before the order totals, while the rows still are partitioned
-    by (user, product).
+    by (user, product). ``pairs`` as for :func:`reorder_features`.
     """
-    users = cohort_users(orders, max_user_id) if labelled_only else None
-    chosen = orders_in(orders, "prior", max_user_id, users)
-    pairs = user_product_aggs(history(prior, chosen))
+    users = orders_in(orders, "train", max_user_id) if labelled_only else None
+    if pairs is None:
+        pairs = user_products(history(prior, orders_in(orders, "prior", max_user_id, users)))
+    else:
+        pairs = restrict(pairs, users)
     truth = actual_sets(orders, train, max_user_id).withColumn("label", F.lit(1.0))
     labelled = pairs.join(truth, ["user_id", "product_id"], "left").fillna({"label": 0.0})
-    return _derived(_with_user_orders(labelled, chosen)).select(
-        "user_id", "product_id", *FEATURES, "label"
-    )
+    return reorder_features(orders, prior, max_user_id, pairs=labelled)
 
 
 def split_users(
@@ -175,7 +177,8 @@ def reorder_predictions(
     threshold: float = THRESHOLD,
     k: int = 10,
     users: DataFrame | None = None,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """What each user will probably buy again, with the features that explain it."""
-    features = reorder_features(tables.orders, tables.prior, users=users)
+    features = reorder_features(tables.orders, tables.prior, users=users, pairs=pairs)
     return reorder_list(score_reorder(model, features), tables.products, threshold, k)

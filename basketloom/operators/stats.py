@@ -100,11 +100,11 @@ def by_count(count: str = "n") -> list[Column]:
     return [F.desc(count), F.asc("product_id")]
 
 
-def top_products(lines: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
+def top_products(counts: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` most bought known products: ``DF[product_id, product_name, n]``.
 
-    Names are joined to the counts before sorting, since a join does not keep an
-    order; the ``k`` rows are then taken without a full sort.
+    ``counts`` is ``DF[product_id, n]``. Names are joined before sorting, since a
+    join does not keep an order; the ``k`` rows are then taken without a full sort.
     """
-    named = with_product_names(product_counts(lines), products)
+    named = with_product_names(counts, products)
     return named.select("product_id", "product_name", "n").orderBy(*by_count()).limit(k)

@@ -87,7 +87,7 @@ _on_events("reorder_rate")(lambda t: _rounded(stats.reorder_rate(t.prior), "reor
 _on_sales("orders_by_dow")(lambda t: stats.orders_by_dow(t.orders))
 _on_events("orders_by_hour")(lambda t: stats.orders_by_hour(t.orders))
 _on_sales("product_counts")(lambda t: stats.product_counts(t.prior))
-_on_sales("top_products")(lambda t: stats.top_products(t.prior, t.products))
+_on_sales("top_products")(lambda t: stats.top_products(stats.product_counts(t.prior), t.products))
 _on_sales("popularity_table")(popularity.popularity_table)
 
 # History
@@ -100,7 +100,7 @@ _on_sales("join_lines_orders")(
 _on_sales("interactions")(lambda t: history.interactions(t.orders, t.prior))
 _on_events("interactions_events")(lambda t: history.interactions(t.orders, t.prior))
 _on_sales("join_restrict_users")(
-    lambda t: history.interactions(t.orders, t.prior, users=history.cohort_users(t.orders))
+    lambda t: history.interactions(t.orders, t.prior, users=history.orders_in(t.orders, "train"))
 )
 _on_sales("purchase_history")(history.purchase_history)
 _on_events("purchase_history_events")(history.purchase_history)
@@ -113,7 +113,7 @@ _on_sales("last_order_per_user")(
 
 @_on_sales("leave_last_order_out")
 def _leave_last_order_out(t: Tables) -> DataFrame:
-    labelled = history.cohort_users(t.orders)
+    labelled = history.orders_in(t.orders, "train")
     return history.leave_last_order_out(history.orders_in(t.orders, "prior", users=labelled))
 
 
@@ -128,7 +128,7 @@ _on_events("customer_profile")(profile.customer_profile)
 _on_sales("customer_profile_sales")(profile.customer_profile)
 _on_events("basic_customer_aggs")(
     lambda t: _rounded(
-        profile.basic_customer_aggs(profile.product_sums(_prior_lines(t))), "reorder_rate"
+        profile.basic_customer_aggs(history.user_products(_prior_lines(t))), "reorder_rate"
     )
 )
 
@@ -154,7 +154,7 @@ def _top1_per_user(t: Tables) -> DataFrame:
 
 def _popular(t: Tables, k: int = 10) -> DataFrame:
     return popularity.popularity_recommendations(
-        _prior_lines(t), history.cohort_users(t.orders), k
+        stats.product_counts(_prior_lines(t)), history.cohort_users(t.orders), k
     )
 
 
@@ -166,19 +166,19 @@ _on_events("novel_recommendations")(
 )
 _on_events("ranking_metrics")(
     lambda t: _rounded(
-        rankeval.ranking_metrics(_popular(t), history.actual_sets(t.orders, t.train)),
+        rankeval.ranking_metrics(_popular(t), history.next_order_lines(t.orders, t.train)),
         "precision", "recall", "ndcg",
     )
 )
 _on_sales("ranking_metrics_sales")(
     lambda t: _rounded(
-        rankeval.ranking_metrics(_popular(t), history.actual_sets(t.orders, t.train)),
+        rankeval.ranking_metrics(_popular(t), history.next_order_lines(t.orders, t.train)),
         "precision", "recall", "ndcg",
     )
 )
 _on_events("user_metrics")(
     lambda t: _rounded(
-        rankeval.user_metrics(_popular(t), history.actual_sets(t.orders, t.train)),
+        rankeval.user_metrics(_popular(t), history.next_order_lines(t.orders, t.train)),
         "precision", "recall", "ndcg",
     )
 )
@@ -205,7 +205,7 @@ def _with_score(t: Tables) -> DataFrame:
 
 
 _on_events("user_product_aggs")(
-    lambda t: _rounded(reorder.user_product_aggs(_prior_lines(t)), "avg_cart_position")
+    lambda t: _rounded(history.user_products(_prior_lines(t)), "avg_cart_position")
 )
 _on_events("reorder_features")(
     lambda t: _rounded(
@@ -389,7 +389,7 @@ def _model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = event_tables(spark, sf_dir)
     split = history.leave_last_order_out(
-        history.orders_in(t.orders, "prior", users=history.cohort_users(t.orders))
+        history.orders_in(t.orders, "prior", users=history.orders_in(t.orders, "train"))
     )
     lines = durable(
         t.prior.join(split.select("order_id", "user_id", "split"), "order_id").select(

@@ -342,8 +342,10 @@ FROM t_prior l LEFT JOIN products p ON l.product_id = p.product_id GROUP BY l.pr
 """,
     "user_product_aggs": EVENTS
     + """
-SELECT user_id, product_id, product_purchases, first_order, last_order,
-       round(avg_cart_position, 6) AS avg_cart_position FROM features
+SELECT user_id, product_id, count(*) AS purchases, CAST(sum(reordered) AS BIGINT) AS reorders,
+       count(reordered) AS marked, min(order_number) AS first_order,
+       max(order_number) AS last_order, round(avg(add_to_cart_order), 6) AS avg_cart_position
+FROM history GROUP BY 1, 2
 """,
     "reorder_features": EVENTS + _FEATURES,
     "reorder_features_sales": SALES + _FEATURES,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketloom.operators import als, classeval, reorder
-from basketloom.operators.history import actual_sets, history, interactions, orders_in
+from basketloom.operators.history import actual_sets, history, orders_in, user_products
 from basketloom.operators.popularity import popularity_recommendations, popularity_table
 from basketloom.operators.profile import customer_profile
 from basketloom.operators.rankeval import compare_models, ranking_metrics
@@ -18,6 +18,7 @@ from basketloom.operators.stats import (
     dashboard_stats,
     orders_by_dow,
     orders_by_hour,
+    product_counts,
     top_products,
 )
 from basketloom.sources.durable import durable
@@ -51,7 +52,7 @@ def dashboard(tables: Tables) -> dict[str, DataFrame]:
     """The small result tables of the overview."""
     return {
         "stats": dashboard_stats(tables),
-        "top_products": top_products(tables.prior, tables.products),
+        "top_products": top_products(product_counts(tables.prior), tables.products),
         "orders_by_hour": orders_by_hour(tables.orders),
         "orders_by_dow": orders_by_dow(tables.orders),
     }
@@ -83,6 +84,9 @@ def run_pipeline(
 ) -> None:
     """Check, analyse, train and write everything below ``target``.
 
+    The order lines are joined to their orders once. Profiles, purchase counts,
+    popularity and features all start from the durable (user, product) table.
+
     The random forest is trained on 70 % of the users with a next order, its
     threshold is chosen on 15 % and judged on the last 15 %.
     """
@@ -92,11 +96,15 @@ def run_pipeline(
     tables = load_tables(spark, source, fmt)
     write_dashboard(tables, f"{target}/dashboard")
     popularity_sink(tables, f"{target}/popularity")
-    write_table(customer_profile(tables), f"{target}/customer_profile")
 
-    bought = durable(interactions(tables.orders, tables.prior, config.max_user_id))
+    lines = history(tables.prior, orders_in(tables.orders, "prior"))
+    all_pairs = durable(user_products(lines))
+    write_table(customer_profile(tables, pairs=all_pairs), f"{target}/customer_profile")
+    pairs = all_pairs
+    if config.max_user_id is not None:
+        pairs = all_pairs.where(F.col("user_id") <= config.max_user_id)
     als_model = als.fit_als(
-        bought, config.rank, config.reg, config.alpha, config.iterations, config.seed
+        pairs, config.rank, config.reg, config.alpha, config.iterations, config.seed
     )
     save_model(als_model, f"{target}/models/als")
     write_table(
@@ -105,8 +113,8 @@ def run_pipeline(
     )
     truth = durable(actual_sets(tables.orders, tables.train, config.max_user_id))
     users = truth.select("user_id").distinct()
-    cohort = orders_in(tables.orders, "prior", config.max_user_id)
-    popular = popularity_recommendations(history(tables.prior, cohort), users, config.k)
+    counts = pairs.groupBy("product_id").agg(F.sum("purchases").alias("n"))
+    popular = popularity_recommendations(counts, users, config.k)
     listed = als.recommended_lists(als_model, config.k, users)
     write_table(
         compare_models(
@@ -121,7 +129,11 @@ def run_pipeline(
     dataset = durable(
         reorder.split_users(
             reorder.reorder_dataset(
-                tables.orders, tables.prior, tables.train, max_user_id=config.max_user_id
+                tables.orders,
+                tables.prior,
+                tables.train,
+                max_user_id=config.max_user_id,
+                pairs=pairs,
             ),
             {"train": 0.7, "validation": 0.15, "test": 0.15},
             config.seed,
@@ -144,7 +156,9 @@ def run_pipeline(
         f"{target}/reorder_quality",
     )
     write_table(
-        reorder.reorder_predictions(tables, forest, config.threshold, config.k),
+        reorder.reorder_predictions(
+            tables, forest, config.threshold, config.k, pairs=all_pairs
+        ),
         f"{target}/reorder_predictions",
     )
     write_table(run_manifest(spark, config), f"{target}/runs", mode="append")

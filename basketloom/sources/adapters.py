@@ -52,15 +52,17 @@ def _store_lines(
     """Distinct (order, product) baskets to the line table, one folder per evaluation set."""
     header = orders.select("order_id", "user_id", "order_number", "eval_set")
     placed = durable(baskets.join(header, "order_id"))
-    first = placed.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first"))
+    pair = ["user_id", "product_id"]
+    first = placed.groupBy(*pair).agg(F.min("order_number").alias("order_number"))
+    # Joined on the order too, which spreads a product bought in very many orders.
     lines = (
         number_rows(placed, ["order_id"], order_by, buckets, "add_to_cart_order")
-        .join(first, ["user_id", "product_id"])
+        .join(first.withColumn("_first", F.lit(True)), [*pair, "order_number"], "left")
         .select(
             "order_id",
             "product_id",
             F.col("add_to_cart_order").cast("int"),
-            (F.col("order_number") > F.col("_first")).cast("int").alias("reordered"),
+            F.col("_first").isNull().cast("int").alias("reordered"),
             "eval_set",
         )
     )

@@ -140,7 +140,7 @@ def test_histograms_have_all_slots(tables):
 
 
 def test_unknown_products(tables):
-    top = stats.top_products(tables.prior, tables.products).collect()
+    top = stats.top_products(stats.product_counts(tables.prior), tables.products).collect()
     assert [(r.product_id, r.n) for r in top] == [(100, 3), (101, 1), (102, 1), (103, 1)]
     named = with_product_names(stats.product_counts(tables.prior), tables.products, "left")
     assert {r.product_id: r.product_name for r in named.collect()}[999] == "Product 999"
@@ -200,7 +200,7 @@ def test_profile_of_chosen_users(spark, tables):
 
 def test_popular_and_novel(tables):
     users = tables.orders.select("user_id").distinct()
-    popular = popularity.popularity_recommendations(tables.prior, users, 3)
+    popular = popularity.popularity_recommendations(stats.product_counts(tables.prior), users, 3)
     assert {tuple(r.predicted) for r in popular.collect()} == {(100, 101, 102)}
     bought = history.interactions(tables.orders, tables.prior)
     fresh = lists.novel_recommendations(lists.list_rows(popular), bought, 2)
