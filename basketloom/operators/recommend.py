@@ -20,6 +20,14 @@ def list_rows(predicted: DataFrame) -> DataFrame:
     )
 
 
+def rows_as_lists(rows: DataFrame) -> DataFrame:
+    """The reverse of :func:`list_rows`, for the at most ``k`` ranked rows of each user."""
+    ranked = F.sort_array(F.collect_list(F.struct("rank", "product_id")))
+    return rows.groupBy("user_id").agg(
+        F.transform(ranked, lambda row: row["product_id"]).alias("predicted")
+    )
+
+
 def topk_per_user(
     df: DataFrame, order_by: Sequence[Column], k: int, rank: str = "rank"
 ) -> DataFrame:

@@ -184,6 +184,24 @@ _on_events("user_metrics")(
 )
 
 
+@_on_events("compare_models")
+def _compare_models(t: Tables) -> DataFrame:
+    """Popular products against each user's own most bought ones."""
+    truth = history.next_order_lines(t.orders, t.train)
+    own = lists.topk_per_user(
+        history.interactions(t.orders, t.prior), [F.desc("purchases"), F.asc("product_id")], 10
+    )
+    candidates = {"popular": _popular(t), "own": lists.rows_as_lists(own)}
+    metrics = {
+        name: _rounded(
+            rankeval.ranking_metrics(predicted, truth, users="truth"),
+            "precision", "recall", "ndcg",
+        )
+        for name, predicted in candidates.items()
+    }
+    return rankeval.compare_models(metrics)
+
+
 @_on_events("topk_per_user")
 def _topk_per_user(t: Tables) -> DataFrame:
     rates = reorder.reorder_features(t.orders, t.prior).withColumnRenamed("purchase_rate", "score")

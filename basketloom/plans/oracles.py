@@ -150,13 +150,22 @@ FROM interactions i JOIN products p ON i.product_id = p.product_id
 _FEATURES = f"SELECT {_FEATURE_COLUMNS} FROM features"
 
 _PER_USER_METRICS = """,
+lists AS (
+  SELECT 'popular' AS model, user_id, product_id, pop_rank AS r
+  FROM labelled, popular WHERE pop_rank <= 10
+  UNION ALL
+  SELECT 'own', user_id, product_id,
+         row_number() OVER (PARTITION BY user_id ORDER BY purchases DESC, product_id) AS r
+  FROM interactions QUALIFY r <= 10),
 per_user AS (
-  SELECT t.user_id, count(p.product_id) AS hits, count(*) AS n_actual,
-         coalesce(sum(1.0 / log2(p.pop_rank + 1)), 0) AS gain
-  FROM truth t LEFT JOIN popular p ON t.product_id = p.product_id AND p.pop_rank <= 10
-  GROUP BY 1),
+  SELECT m.model, t.user_id, count(l.product_id) AS hits, count(*) AS n_actual,
+         coalesce(sum(1.0 / log2(l.r + 1)), 0) AS gain
+  FROM truth t CROSS JOIN (VALUES ('popular'), ('own')) m(model)
+  LEFT JOIN lists l
+    ON l.model = m.model AND l.user_id = t.user_id AND l.product_id = t.product_id
+  GROUP BY 1, 2),
 judged AS (
-  SELECT u.user_id, hits, n_actual, hits / 10.0 AS "precision", hits / n_actual AS recall,
+  SELECT model, u.user_id, hits, n_actual, hits / 10.0 AS "precision", hits / n_actual AS recall,
          gain / (SELECT sum(1.0 / log2(g.i + 1)) FROM range(1, 11) g(i) WHERE g.i <= n_actual) AS ndcg
   FROM per_user u)
 """
@@ -165,7 +174,8 @@ _RANKING = (
     _PER_USER_METRICS
     + """
 SELECT count(*) AS n_users, round(avg("precision"), 6) AS "precision",
-       round(avg(recall), 6) AS recall, round(avg(ndcg), 6) AS ndcg FROM judged
+       round(avg(recall), 6) AS recall, round(avg(ndcg), 6) AS ndcg
+FROM judged WHERE model = 'popular'
 """
 )
 
@@ -321,7 +331,13 @@ QUALIFY row_number() OVER (PARTITION BY l.user_id ORDER BY l.pop_rank) <= 10
     + _PER_USER_METRICS
     + """
 SELECT user_id, hits, n_actual, round("precision", 6) AS "precision", round(recall, 6) AS recall,
-       round(ndcg, 6) AS ndcg FROM judged
+       round(ndcg, 6) AS ndcg FROM judged WHERE model = 'popular'
+""",
+    "compare_models": EVENTS
+    + _PER_USER_METRICS
+    + """
+SELECT model, count(*) AS n_users, round(avg("precision"), 6) AS "precision",
+       round(avg(recall), 6) AS recall, round(avg(ndcg), 6) AS ndcg FROM judged GROUP BY 1
 """,
     "topk_per_user": EVENTS
     + """,

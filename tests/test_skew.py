@@ -125,7 +125,7 @@ def test_order_totals_join_by_user_and_salt(spark, tables):
     with at_scale(spark):
         plan = final_plan(QUERIES["features"](tables))
     joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
-    assert any("_salt" in line for line in joins)
+    assert any("_salt" in line and "skew=true" in line for line in joins)
     assert not any("[user_id#" in line and "," not in line.split("]")[0] for line in joins)
 
 
