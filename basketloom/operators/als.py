@@ -10,7 +10,9 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketloom.functions.numbering import dense_ids
 from basketloom.operators.rankeval import ranking_metrics
+from basketloom.sources.durable import durable
 
 # The model's settings and the settings tried in tuning.
 RANK = 20
@@ -34,7 +36,7 @@ def fit_als(
 
     ``blocks`` bounds the tasks of one step: at least the usual 10, and as many
     as the cluster runs at a time. Factors are checkpointed in between where the
-    session has a checkpoint folder. Ids must fit 32 bits; see ``dense_ids``.
+    session has a checkpoint folder. Ids must fit 32 bits; see :func:`index_ids`.
     """
     if blocks is None:
         blocks = max(10, interactions.sparkSession.sparkContext.defaultParallelism)
@@ -57,6 +59,35 @@ def fit_als(
     return als.fit(interactions.select("user_id", "product_id", "purchases"))
 
 
+def ids_fit(interactions: DataFrame) -> bool:
+    """Whether all ids are 32-bit, as the factorisation needs them."""
+    limit = 2**31
+    bounds = [f(c) for c in ("user_id", "product_id") for f in (F.min, F.max)]
+    return all(b is None or -limit <= b < limit for b in interactions.agg(*bounds).first())
+
+
+def index_ids(interactions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Interactions with dense ids, and what each dense user and product id stands for."""
+    users = durable(dense_ids(interactions, "user_id"), "user-ids")
+    products = durable(dense_ids(interactions, "product_id"), "product-ids")
+    indexed = (
+        interactions.join(users.withColumnRenamed("dense_id", "_user"), "user_id")
+        .join(products.withColumnRenamed("dense_id", "_product"), "product_id")
+        .select(F.col("_user").alias("user_id"), F.col("_product").alias("product_id"), "purchases")
+    )
+    return indexed, users, products
+
+
+def restore_ids(rows: DataFrame, users: DataFrame, products: DataFrame) -> DataFrame:
+    """Recommendations in dense ids back to the ids of :func:`index_ids`."""
+    dense = rows.withColumnsRenamed({"user_id": "_user", "product_id": "_product"})
+    return (
+        dense.join(users.withColumnRenamed("dense_id", "_user"), "_user")
+        .join(products.withColumnRenamed("dense_id", "_product"), "_product")
+        .select("user_id", "product_id", "rank", "score")
+    )
+
+
 def recommend(model: ALSModel, k: int = 10, users: DataFrame | None = None) -> DataFrame:
     """Best ``k`` products, bought before or not: ``DF[user_id, product_id, rank, score]``.
 

@@ -6,7 +6,6 @@ purchases on the events (see ``sources.adapters``).
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.ml.classification import RandomForestClassificationModel
@@ -18,9 +17,10 @@ from basketloom.operators import als, classeval, history, popularity, profile, r
 from basketloom.operators import recommend as lists
 from basketloom.operators import reorder, stats
 from basketloom.operators.names import with_product_names
+from basketloom.plans.experiments import tune_on_last_order
 from basketloom.plans.pipeline import popularity_sink, write_dashboard
 from basketloom.sources.adapters import ADAPTERS
-from basketloom.sources.durable import durable, shared_dir
+from basketloom.sources.durable import durable, fresh_path
 from basketloom.sources.models import load_model, save_model
 from basketloom.sources.tables import Tables, load_tables, write_tables
 
@@ -39,13 +39,9 @@ def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], object
     return _made[key]
 
 
-def _fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def _tables(spark: SparkSession, sf_dir: str, kind: str) -> Tables:
     return _once(
-        spark, sf_dir, kind, lambda: ADAPTERS[kind](spark, sf_dir, _fresh_path(spark, kind))
+        spark, sf_dir, kind, lambda: ADAPTERS[kind](spark, sf_dir, fresh_path(spark, kind))
     )
 
 
@@ -284,19 +280,19 @@ def _rate_reorder_list(t: Tables) -> DataFrame:
 
 
 def _scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _fresh_path(spark, "csv")
+    path = fresh_path(spark, "csv")
     write_tables(event_tables(spark, sf_dir), path, "csv")
     return stats.dashboard_stats(load_tables(spark, path, "csv"))
 
 
 def _scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _fresh_path(spark, "parquet")
+    path = fresh_path(spark, "parquet")
     write_tables(event_tables(spark, sf_dir), path, "parquet")
     return stats.table_counts(load_tables(spark, path, "parquet"))
 
 
 def _popularity_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _fresh_path(spark, "popularity")
+    path = fresh_path(spark, "popularity")
     popularity_sink(sales_tables(spark, sf_dir), path)
     return spark.read.csv(
         path, header=True, schema="product_id bigint, product_name string, n bigint"
@@ -304,7 +300,7 @@ def _popularity_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dashboard_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _fresh_path(spark, "dashboard")
+    path = fresh_path(spark, "dashboard")
     write_dashboard(event_tables(spark, sf_dir), path)
     return spark.read.json(
         f"{path}/orders_by_hour", schema="order_hour_of_day int, n_orders bigint"
@@ -380,7 +376,7 @@ def _scored(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
 
 
 def _loaded_als(spark: SparkSession, sf_dir: str) -> ALSModel:
-    path = _fresh_path(spark, "als")
+    path = fresh_path(spark, "als")
     save_model(_als(spark, sf_dir), path)
     return load_model("als", path)
 
@@ -404,23 +400,6 @@ def _model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = event_tables(spark, sf_dir)
-    split = history.leave_last_order_out(
-        history.orders_in(t.orders, "prior", users=history.orders_in(t.orders, "train"))
-    )
-    lines = durable(
-        t.prior.join(split.select("order_id", "user_id", "split"), "order_id").select(
-            "user_id", "product_id", "split"
-        )
-    )
-    earlier = lines.where(F.col("split") == "history").groupBy("user_id", "product_id")
-    validation = lines.where(F.col("split") == "validation").select("user_id", "product_id")
-    return als.tune_als(
-        durable(earlier.agg(F.count("*").alias("purchases"))), durable(validation.distinct())
-    )
-
-
 QUERIES["als_fit"] = lambda spark, sf_dir: _als(spark, sf_dir).userFactors
 QUERIES["als_recommend_all"] = lambda spark, sf_dir: als.recommend(_als(spark, sf_dir))
 QUERIES["als_recommend_subset"] = lambda spark, sf_dir: als.recommend(
@@ -435,7 +414,7 @@ QUERIES["als_novel"] = lambda spark, sf_dir: lists.novel_recommendations(
 QUERIES["als_metrics"] = lambda spark, sf_dir: rankeval.ranking_metrics(
     _als_lists(spark, sf_dir), _truth(spark, sf_dir)
 )
-QUERIES["als_grid"] = _als_grid
+QUERIES["als_grid"] = lambda spark, sf_dir: tune_on_last_order(event_tables(spark, sf_dir))
 QUERIES["model_comparison"] = _model_comparison
 QUERIES["rf_scores"] = lambda spark, sf_dir: _scored(spark, sf_dir, "test").select(
     "user_id", "product_id", "label", "probability", "prediction"

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from basketloom.operators import als, classeval, reorder
 from basketloom.operators.history import actual_sets, history, orders_in, user_products
-from basketloom.operators.popularity import popularity_recommendations, popularity_table
+from basketloom.operators.popularity import popularity_recommendations
 from basketloom.operators.profile import customer_profile
 from basketloom.operators.rankeval import compare_models, ranking_metrics
-from basketloom.operators.recommend import recommend_named
+from basketloom.operators.recommend import recommend_named, rows_as_lists
 from basketloom.operators.stats import (
     dashboard_stats,
     orders_by_dow,
@@ -21,7 +21,7 @@ from basketloom.operators.stats import (
     product_counts,
     top_products,
 )
-from basketloom.sources.durable import durable
+from basketloom.sources.durable import durable, fresh_path
 from basketloom.sources.models import save_model
 from basketloom.sources.tables import (
     Tables,
@@ -29,6 +29,7 @@ from basketloom.sources.tables import (
     load_tables,
     schema_contract,
     write_table,
+    write_tables,
 )
 
 
@@ -48,25 +49,31 @@ class Config:
     k: int = 10
 
 
-def dashboard(tables: Tables) -> dict[str, DataFrame]:
-    """The small result tables of the overview."""
+def dashboard(tables: Tables, counts: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The small result tables of the overview; ``counts`` are the ``product_counts``, if made."""
+    counts = product_counts(tables.prior) if counts is None else counts
     return {
         "stats": dashboard_stats(tables),
-        "top_products": top_products(product_counts(tables.prior), tables.products),
+        "top_products": top_products(counts, tables.products),
         "orders_by_hour": orders_by_hour(tables.orders),
         "orders_by_dow": orders_by_dow(tables.orders),
     }
 
 
-def write_dashboard(tables: Tables, path: str, fmt: str = "json") -> None:
+def write_dashboard(
+    tables: Tables, path: str, fmt: str = "json", counts: DataFrame | None = None
+) -> None:
     """Write the overview, one folder per table."""
-    for name, df in dashboard(tables).items():
+    for name, df in dashboard(tables, counts).items():
         write_table(df.coalesce(1), f"{path}/{name}", fmt)
 
 
-def popularity_sink(tables: Tables, path: str, k: int = 100) -> None:
+def popularity_sink(
+    tables: Tables, path: str, k: int = 100, counts: DataFrame | None = None
+) -> None:
     """Write the ``k`` most bought products as CSV with a header."""
-    write_table(popularity_table(tables, k), path, "csv")
+    counts = product_counts(tables.prior) if counts is None else counts
+    write_table(top_products(counts, tables.products, k), path, "csv")
 
 
 def run_manifest(spark: SparkSession, config: Config, models: str = "als+random forest") -> DataFrame:
@@ -94,28 +101,43 @@ def run_pipeline(
     if problems:
         raise ValueError(f"input not complete: {[tuple(p) for p in problems]}")
     tables = load_tables(spark, source, fmt)
-    write_dashboard(tables, f"{target}/dashboard")
-    popularity_sink(tables, f"{target}/popularity")
+    if fmt in ("csv", "json"):
+        # Text is parsed once; the jobs below read columns.
+        staged = fresh_path(spark, "tables")
+        write_tables(tables, staged)
+        tables = load_tables(spark, staged, "parquet")
+    counts = durable(product_counts(tables.prior), "counts")
+    write_dashboard(tables, f"{target}/dashboard", counts=counts)
+    popularity_sink(tables, f"{target}/popularity", counts=counts)
 
     lines = history(tables.prior, orders_in(tables.orders, "prior"))
-    all_pairs = durable(user_products(lines))
+    all_pairs = durable(user_products(lines), "pairs")
     write_table(customer_profile(tables, pairs=all_pairs), f"{target}/customer_profile")
     pairs = all_pairs
     if config.max_user_id is not None:
         pairs = all_pairs.where(F.col("user_id") <= config.max_user_id)
+
+    bought = pairs.select("user_id", "product_id", "purchases")
+    maps = None
+    if not als.ids_fit(bought):
+        bought, *maps = als.index_ids(bought)
     als_model = als.fit_als(
-        pairs, config.rank, config.reg, config.alpha, config.iterations, config.seed
+        bought, config.rank, config.reg, config.alpha, config.iterations, config.seed
     )
     save_model(als_model, f"{target}/models/als")
-    write_table(
-        recommend_named(als.recommend(als_model, config.k), tables.products),
-        f"{target}/recommendations",
+    recommended = als.recommend(als_model, config.k)
+    if maps:
+        recommended = als.restore_ids(recommended, *maps)
+        for name, ids in zip(("user_ids", "product_ids"), maps):
+            write_table(ids, f"{target}/models/{name}")
+    recommended = durable(recommended, "recommended")
+    write_table(recommend_named(recommended, tables.products), f"{target}/recommendations")
+    truth = durable(actual_sets(tables.orders, tables.train, config.max_user_id), "truth")
+    cohort_counts = pairs.groupBy("product_id").agg(F.sum("purchases").alias("n"))
+    popular = popularity_recommendations(
+        cohort_counts, truth.select("user_id").distinct(), config.k
     )
-    truth = durable(actual_sets(tables.orders, tables.train, config.max_user_id))
-    users = truth.select("user_id").distinct()
-    counts = pairs.groupBy("product_id").agg(F.sum("purchases").alias("n"))
-    popular = popularity_recommendations(counts, users, config.k)
-    listed = als.recommended_lists(als_model, config.k, users)
+    listed = rows_as_lists(recommended)
     write_table(
         compare_models(
             {
@@ -137,16 +159,19 @@ def run_pipeline(
             ),
             {"train": 0.7, "validation": 0.15, "test": 0.15},
             config.seed,
-        )
+        ),
+        "dataset",
     )
     forest = reorder.fit_reorder(
         dataset.where(F.col("split") == "train"), config.trees, config.depth, config.seed
     )
     save_model(forest, f"{target}/models/reorder")
     scored = durable(
-        reorder.score_reorder(forest, dataset).select("split", "label", "probability")
+        reorder.score_reorder(forest, dataset).select("split", "label", "probability"), "scored"
+    )
+    sweep = durable(
+        classeval.threshold_sweep(scored.where(F.col("split") == "validation")), "sweep"
     )
-    sweep = durable(classeval.threshold_sweep(scored.where(F.col("split") == "validation")))
     write_table(sweep, f"{target}/threshold_sweep")
     chosen = classeval.best_threshold(sweep).first()
     threshold = chosen["threshold"] if chosen else 0.0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,17 +14,23 @@ def shared_dir(spark: SparkSession) -> str:
     Only where the session names none, as in tests, is one made for it.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="basketloom-"))
     return context.getCheckpointDir()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """``df`` computed once and written to the shared folder, without its lineage.
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
-    For inputs of iterative work: neither the iterations nor a lost executor
-    repeat the joins behind it.
+
+def durable(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` computed once, as a Parquet table in the shared folder, without its lineage.
+
+    For what several jobs or iterations read: neither they nor a lost executor
+    repeat the joins behind it, and each reads only the columns it uses.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ from basketloom.operators import als, reorder
 from basketloom.plans import catalog
 from basketloom.plans.pipeline import Config, run_manifest, run_pipeline
 from basketloom.sources import tables as src
+from basketloom.sources.durable import durable
 from basketloom.sources.models import load_model, save_model
 from basketloom.sources.schemas import TABLES
 
@@ -86,6 +87,28 @@ def test_als_unknown_user_has_no_rows(spark):
     assert als.recommend(model, 10, unknown).isEmpty()
 
 
+def test_large_ids_are_indexed_and_restored(spark):
+    bought = catalog._bought(spark, SF_DIR)
+    wide = bought.withColumns(
+        {"user_id": F.col("user_id") + 2**40, "product_id": F.col("product_id") * 2**33}
+    )
+    assert als.ids_fit(bought) and not als.ids_fit(wide)
+    indexed, users, products = als.index_ids(wide)
+    assert als.ids_fit(indexed) and indexed.count() == bought.count()
+    rows = als.recommend(als.fit_als(indexed, rank=4, iterations=2), 3)
+    back = als.restore_ids(rows, users, products)
+    assert back.count() == rows.count()
+    assert back.join(wide, "user_id", "left_anti").isEmpty()
+    assert back.join(wide, "product_id", "left_anti").isEmpty()
+
+
+def test_durable_tables_have_no_lineage(spark):
+    df = durable(spark.range(10).withColumn("twice", F.col("id") * 2))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "Range" not in plan
+    assert df.agg(F.sum("twice")).first()[0] == 90
+
+
 def test_novel_lists_do_not_repeat_purchases(spark):
     novel = catalog.QUERIES["als_novel"](spark, SF_DIR)
     bought = catalog._bought(spark, SF_DIR)
