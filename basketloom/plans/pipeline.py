@@ -24,6 +24,7 @@ from basketloom.operators.stats import (
 from basketloom.sources.durable import durable, fresh_path
 from basketloom.sources.models import save_model
 from basketloom.sources.tables import (
+    FORMATS,
     Tables,
     found_columns,
     load_tables,
@@ -101,7 +102,7 @@ def run_pipeline(
     if problems:
         raise ValueError(f"input not complete: {[tuple(p) for p in problems]}")
     tables = load_tables(spark, source, fmt)
-    if fmt in ("csv", "json"):
+    if fmt == "csv":
         # Text is parsed once; the jobs below read columns.
         staged = fresh_path(spark, "tables")
         write_tables(tables, staged)
@@ -193,7 +194,7 @@ def main() -> None:
     parser = argparse.ArgumentParser(description="Run the whole basket analysis.")
     parser.add_argument("source", help="folder of the six tables")
     parser.add_argument("target", help="folder for the results")
-    parser.add_argument("--format", default="csv", choices=["csv", "parquet", "orc", "json"])
+    parser.add_argument("--format", default="csv", choices=FORMATS)
     parser.add_argument("--max-user-id", type=int, default=None)
     args = parser.parse_args()
     spark = SparkSession.builder.appName("basketloom").getOrCreate()

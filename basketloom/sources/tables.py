@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 from basketloom.sources.schemas import TABLES
 
 
+# Formats that tell their columns without reading all rows.
+FORMATS = ("csv", "parquet", "orc")
+
+
 @dataclass(frozen=True)
 class Tables:
     """The six input tables."""
@@ -55,7 +59,9 @@ def read_table(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -
 
 
 def load_tables(spark: SparkSession, path: str, fmt: str = "csv") -> Tables:
-    """Read ``<path>/<table>.<fmt>`` for the six tables (csv, parquet, orc or json)."""
+    """Read ``<path>/<table>.<fmt>`` for the six tables; the format is csv, parquet or orc."""
+    if fmt not in FORMATS:
+        raise ValueError(f"format must be one of {FORMATS}")
     return Tables(
         *(read_table(spark, table_path(path, name, fmt), fmt, schema)
           for name, schema in TABLES.items())

@@ -50,7 +50,7 @@ def test_contract(spark, tmp_path):
     assert len(problems) == 2 + 4
 
 
-@pytest.mark.parametrize("fmt", ["csv", "parquet", "orc", "json"])
+@pytest.mark.parametrize("fmt", src.FORMATS)
 def test_formats_keep_all_rows(spark, events, tmp_path, fmt):
     path = str(tmp_path)
     src.write_tables(events, path, fmt)
@@ -62,6 +62,20 @@ def test_formats_keep_all_rows(spark, events, tmp_path, fmt):
         assert df.exceptAll(again).isEmpty() and again.exceptAll(df).isEmpty()
 
 
+def test_other_formats_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="format"):
+        src.load_tables(spark, str(tmp_path), "json")
+
+
+def test_files_with_another_header_are_refused(spark, tmp_path):
+    folder = tmp_path / "aisles.csv"
+    folder.mkdir()
+    write(folder / "a.csv", "aisle_id,aisle\n1,dairy\n")
+    write(folder / "b.csv", "aisle,aisle_id\nfruit,2\n")
+    with pytest.raises(Exception, match="header"):
+        src.read_table(spark, str(folder), "csv", TABLES["aisles"]).collect()
+
+
 def test_manifest(spark):
     row = run_manifest(spark, Config(max_user_id=5000)).first()
     assert (row.max_user_id, row.rank, row.reg, row.trees, row.threshold) == (5000, 20, 0.1, 50, 0.2)
