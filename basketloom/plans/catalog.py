@@ -19,6 +19,7 @@ from basketloom.operators import reorder, stats
 from basketloom.operators.names import with_product_names
 from basketloom.plans.experiments import tune_on_last_order
 from basketloom.plans.pipeline import popularity_sink, write_dashboard
+from basketloom.plans.serving import user_profiles, user_recommendations, user_reorders
 from basketloom.sources.adapters import ADAPTERS
 from basketloom.sources.durable import durable, fresh_path
 from basketloom.sources.models import load_model, save_model
@@ -122,6 +123,9 @@ def _prior_lines(t: Tables) -> DataFrame:
 
 _on_events("customer_profile")(profile.customer_profile)
 _on_sales("customer_profile_sales")(profile.customer_profile)
+_on_sales("user_profiles")(
+    lambda t: user_profiles(t, history.orders_in(t.orders, "train"))
+)
 _on_events("basic_customer_aggs")(
     lambda t: _rounded(
         profile.basic_customer_aggs(history.user_products(_prior_lines(t))), "reorder_rate"
@@ -431,3 +435,9 @@ QUERIES["rf_holdout"] = lambda spark, sf_dir: classeval.classification_metrics(
 QUERIES["reorder_predictions"] = lambda spark, sf_dir: reorder.reorder_predictions(
     event_tables(spark, sf_dir), _forest(spark, sf_dir)
 )
+QUERIES["user_recommendations"] = lambda spark, sf_dir: user_recommendations(
+    event_tables(spark, sf_dir), _als(spark, sf_dir), _labelled(spark, sf_dir)
+)
+QUERIES["user_reorders"] = lambda spark, sf_dir: user_reorders(
+    event_tables(spark, sf_dir), _forest(spark, sf_dir), _labelled(spark, sf_dir)
+)

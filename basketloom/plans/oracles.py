@@ -300,6 +300,7 @@ FROM prior_orders WHERE user_id IN (SELECT user_id FROM labelled)
 """,
     "customer_profile": EVENTS + _PROFILE,
     "customer_profile_sales": SALES + _PROFILE,
+    "user_profiles": SALES + _PROFILE + "WHERE o.user_id IN (SELECT user_id FROM labelled)",
     "basic_customer_aggs": EVENTS
     + """
 SELECT user_id, count(*) AS purchases, count(DISTINCT product_id) AS unique_products,

@@ -5,8 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from basketloom.operators import als, reorder
-from basketloom.plans import catalog
+from basketloom.operators import als, history, profile, reorder
+from basketloom.plans import catalog, serving
 from basketloom.plans.pipeline import Config, run_manifest, run_pipeline
 from basketloom.sources import tables as src
 from basketloom.sources.durable import durable
@@ -129,6 +129,28 @@ def test_novel_lists_do_not_repeat_purchases(spark):
     assert novel.join(bought, ["user_id", "product_id"]).isEmpty()
 
 
+def test_few_users_do_not_shuffle_the_lines(spark, events):
+    few = spark.createDataFrame([(3,), (4,), (10**6,)], "user_id bigint")
+    own = serving.tables_of(events, few)
+    df = history.history(own.prior, history.orders_in(own.orders, "prior"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    got = serving.user_profiles(events, few)
+    want = profile.customer_profile(events).where("user_id IN (3, 4)")
+    assert got.count() == 2 and got.exceptAll(want).isEmpty()
+
+
+def test_user_answers_agree_with_all_users(spark, events):
+    few = spark.createDataFrame([(3,), (4,), (10**6,)], "user_id bigint")
+    forest = catalog._forest(spark, SF_DIR)
+    some = serving.user_reorders(events, forest, few, threshold=0.0)
+    every = reorder.reorder_predictions(events, forest, threshold=0.0)
+    assert some.exceptAll(every.where("user_id IN (3, 4)")).isEmpty()
+    assert every.where("user_id IN (3, 4)").exceptAll(some).isEmpty()
+    named = serving.user_recommendations(events, catalog._als(spark, SF_DIR), few)
+    assert {r.user_id for r in named.select("user_id").distinct().collect()} == {3, 4}
+
+
 def test_als_model_survives_saving(spark, tmp_path):
     model = catalog._als(spark, SF_DIR)
     save_model(model, str(tmp_path / "als"))
