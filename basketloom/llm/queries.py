@@ -14,6 +14,7 @@ from basketloom.llm import (
     quality,
     secret_scan,
     simhash,
+    substring_dedup,
     suffix_dedup,
     token_orc,
     warc,
@@ -35,6 +36,11 @@ def _query(name: str) -> Callable:
     return register
 
 
+@_query("op1_substring_dedup")
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(read(spark, sf_dir, "documents"))
+
+
 @_query("op2_benchmark_decontamination")
 def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(
