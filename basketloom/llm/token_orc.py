@@ -8,6 +8,7 @@ stripes as separate tasks.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
@@ -27,14 +28,19 @@ STRIPE_BYTES = 16 << 20
 BLOOM_FPP = 0.01
 
 #: Distinct units whose ids a Python worker remembers, and their longest length.
-CACHED_UNITS = 200_000
+CACHED_UNITS = 300_000
 CACHED_CHARS = 64
 
-# White space and what follows up to the next. The vocabulary's own split never
-# reaches from another character across white space, so units are encoded apart.
-_UNIT = re.compile(r"\s*\S+|\s+")
+# White space and what follows up to the next, or up to a comma or full stop behind a
+# letter or digit. The vocabulary's own split never reaches across either place, so
+# units are encoded apart.
+_UNIT = re.compile(r"\s*+(?:[^\s,.]++(?:(?!\S)|(?<=[^\W_]))|\S++)|\s++")
 # White space to Python, but not to the split: texts with one are encoded whole.
 _NO_UNITS = re.compile(r"[\x1c-\x1f]")
+# Units that can be encoded in one text, a line break between them, as the split
+# leaves a line break before one blank or none alone.
+_PLAIN = re.compile(r" ?\S+")
+JOINED = 64
 
 SCHEMA = "chunk int, row bigint, doc_id bigint, ids array<int>"
 
@@ -48,25 +54,45 @@ class UnitEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are text
+        (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
 
-    def _bytes(self, texts: Sequence[str]) -> list[bytes]:
+    def _apart(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
+    def _together(self, units: list[str]) -> list[bytes]:
+        """Ids of plain units, which hold no line break, from texts of many of them."""
+        joined = ["\n".join(units[i : i + JOINED]) for i in range(0, len(units), JOINED)]
+        out: list[bytes] = []
+        for one in self._apart(joined):
+            ids = np.frombuffer(one, "<u4")
+            breaks = np.flatnonzero(ids == self.line_break) * 4
+            out += [one[a:b] for a, b in zip([0, *(breaks + 4).tolist()], [*breaks.tolist(), len(one)])]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        units = [[t] if _NO_UNITS.search(t) else _UNIT.findall(t) for t in texts]
         if len(self.known) > CACHED_UNITS:
             self.known = {}
-        known = self.known
-        new = list({u for some in units for u in some if u not in known})
-        ids = dict(zip(new, self._bytes(new))) if new else {}
-        out = []
-        for some in units:
-            out.append(b"".join([known[u] if u in known else ids[u] for u in some]))
-        known.update((u, i) for u, i in ids.items() if len(u) <= CACHED_CHARS)
-        return out
+        units = [[t] if _NO_UNITS.search(t) else _UNIT.findall(t) for t in texts]
+        found = [list(map(self.known.get, some)) for some in units]
+        gaps = [[k for k, i in enumerate(ids) if i is None] for ids in found]
+        new = list({some[k] for some, gap in zip(units, gaps) for k in gap})
+        plain = [u for u in new if _PLAIN.fullmatch(u)]
+        other = [u for u in new if not _PLAIN.fullmatch(u)]
+        fresh = dict(zip(plain + other, self._together(plain) + self._apart(other)))
+        self.known.update((u, i) for u, i in fresh.items() if len(u) <= CACHED_CHARS)
+        for some, ids, gap in zip(units, found, gaps):
+            for k in gap:
+                ids[k] = fresh[some[k]]
+        return list(map(b"".join, found))
+
+
+@functools.lru_cache(maxsize=2)
+def unit_encoder(path: str) -> UnitEncoder:
+    """One encoder per Python worker, which keeps its units from task to task."""
+    return UnitEncoder(path)
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> None:
@@ -79,7 +105,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = UnitEncoder(tokenizer)
+        encoder = unit_encoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         row = 0
         for batch in chunks(batches):
