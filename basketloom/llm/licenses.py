@@ -103,7 +103,7 @@ FAMILIES = ["unknown", *TEMPLATES]
 HALF = 24
 BITS = 13
 DIMENSIONS = 1 << BITS
-SCALE = 8.0
+SCALE = 1.5
 #: Most documents whose lines train the unknown class, chosen by a hash of id and text.
 MAX_UNKNOWN_DOCS = 300
 MAX_UNKNOWN_WINDOWS = 3000
@@ -149,12 +149,12 @@ def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 def vector(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Sparse frequencies of the words and word pairs of one window."""
+    """Sparse counts of the words and word pairs of one window, over the root of its length."""
     codes = np.array([zlib.crc32(w) for w in words], np.uint32)
-    total = np.bincount(codes & (DIMENSIONS - 1), minlength=DIMENSIONS) * (SCALE / len(codes))
+    total = np.bincount(codes & (DIMENSIONS - 1), minlength=DIMENSIONS) * (SCALE / len(codes) ** 0.5)
     if len(codes) > 1:
         total += np.bincount(_pair(codes[:-1], codes[1:]), minlength=DIMENSIONS) * (
-            SCALE / len(codes)
+            SCALE / len(codes) ** 0.5
         )
     at = np.flatnonzero(total)
     return at, total[at]
@@ -281,7 +281,7 @@ def classify(texts: list[bytes], model: LicenseModel, threshold: float) -> list[
     both = nexts[begin]
     total = sums[begin] + np.where(both[:, None], sums[after] + lead[after], 0)
     count = sizes[begin] + np.where(both, sizes[after], 0)
-    scores = total * (SCALE / count)[:, None] + model.intercepts
+    scores = total * (SCALE / np.sqrt(count))[:, None] + model.intercepts
     probability = model.licence(scores)
     out = []
     for i in np.flatnonzero(probability >= threshold):

@@ -185,7 +185,8 @@ def _finer(docs: DataFrame, rows: DataFrame, window: int, width: int) -> DataFra
                     for b in range((anchor - last) // width, r["a"] // width + 1):
                         high = min(last, anchor - b * width)
                         low = max(r["s"], anchor - (b + 1) * width + 1)
-                        core = text[anchor - b * width : anchor - (b + 1) * width + 1 + window]
+                        start = anchor - b * width
+                        core = text[start : max(start, start - width + 1 + window)]
                         code = _signed(xxhash.xxh3_64_intdigest(core, b) ^ (r["g"] & (2**64 - 1)))
                         segment = text[low : high + window]
                         out.append((code, _code(segment, anchor - low), low, high - low + 1, anchor - low))
