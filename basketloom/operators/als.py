@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from basketloom.functions.numbering import dense_ids
 from basketloom.operators.rankeval import ranking_metrics
+from basketloom.operators.recommend import novel_recommendations
 from basketloom.sources.durable import durable
 
 # The model's settings and the settings tried in tuning.
@@ -20,6 +21,7 @@ REG = 0.1
 ALPHA = 10.0
 ITERATIONS = 5
 SEED = 42
+BLOCKS = 16
 GRID = [(5, 0.05), (5, 0.10), (10, 0.05), (10, 0.10), (20, 0.05), (20, 0.10)]
 
 
@@ -30,16 +32,18 @@ def fit_als(
     alpha: float = ALPHA,
     iterations: int = ITERATIONS,
     seed: int = SEED,
-    blocks: int | None = None,
+    blocks: int = BLOCKS,
 ) -> ALSModel:
     """Implicit-feedback ALS on ``DF[user_id, product_id, purchases]``.
 
-    ``blocks`` bounds the tasks of one step: at least the usual 10, and as many
-    as the cluster runs at a time. Factors are checkpointed in between where the
-    session has a checkpoint folder. Ids must fit 32 bits; see :func:`index_ids`.
+    ``blocks`` bounds the tasks of one step. It is a setting of the model, not of
+    the cluster, as the sums in a block depend on it; rows are placed by user and
+    sorted, so the same rows give the same model. All ratings of a product meet in
+    one block. Factors are checkpointed in between where the session has a
+    checkpoint folder. Ids must fit 32 bits; see :func:`index_ids`.
     """
-    if blocks is None:
-        blocks = max(10, interactions.sparkSession.sparkContext.defaultParallelism)
+    rows = interactions.select("user_id", "product_id", "purchases")
+    rows = rows.repartition(blocks, "user_id").sortWithinPartitions("user_id", "product_id")
     als = ALS(
         userCol="user_id",
         itemCol="product_id",
@@ -56,14 +60,7 @@ def fit_als(
         numItemBlocks=blocks,
         checkpointInterval=2,
     )
-    return als.fit(interactions.select("user_id", "product_id", "purchases"))
-
-
-def ids_fit(interactions: DataFrame) -> bool:
-    """Whether all ids are 32-bit, as the factorisation needs them."""
-    limit = 2**31
-    bounds = [f(c) for c in ("user_id", "product_id") for f in (F.min, F.max)]
-    return all(b is None or -limit <= b < limit for b in interactions.agg(*bounds).first())
+    return als.fit(rows)
 
 
 def index_ids(interactions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -107,6 +104,40 @@ def recommend(model: ALSModel, k: int = 10, users: DataFrame | None = None) -> D
     )
 
 
+def recommend_known(
+    model: ALSModel,
+    ids: tuple[DataFrame, DataFrame],
+    k: int = 10,
+    users: DataFrame | None = None,
+) -> DataFrame:
+    """:func:`recommend` of a model fitted on :func:`index_ids`, in and out in real ids."""
+    if users is not None:
+        users = users.select("user_id").distinct().join(ids[0], "user_id").select(
+            F.col("dense_id").alias("user_id")
+        )
+    return restore_ids(recommend(model, k, users), *ids)
+
+
+def novel(model: ALSModel, interactions: DataFrame, k: int = 10) -> DataFrame:
+    """The best ``k`` products each user of ``interactions`` has not bought.
+
+    Of a user who bought b products the best k + b hold them. Users are taken
+    together by the next power of two of that, so each asks for less than twice as
+    many as needed and there are as many calls as powers.
+    """
+    bought = interactions.select("user_id", "product_id").distinct()
+    many = bought.groupBy("user_id").agg(F.count("*").alias("b"))
+    power = F.ceil(F.log2(F.col("b") + F.lit(k))).cast("int")
+    asked = durable(many.select("user_id", power.alias("power")), "asked")
+    rows = None
+    for (p,) in asked.select("power").distinct().orderBy("power").collect():
+        some = recommend(model, 1 << p, asked.where(F.col("power") == p))
+        rows = some if rows is None else rows.union(some)
+    if rows is None:
+        rows = recommend(model, k, asked)
+    return novel_recommendations(rows, bought, k)
+
+
 def recommended_lists(model: ALSModel, k: int = 10, users: DataFrame | None = None) -> DataFrame:
     """The same as lists of ids: ``DF[user_id, predicted: array]``."""
     if users is None:

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketloom.functions.numbering import number_rows
+from basketloom.operators.recommend import novel_recommendations
 from basketloom.operators.stats import by_count, product_counts, top_products
+from basketloom.sources.durable import durable
 from basketloom.sources.tables import Tables
 
 
@@ -24,6 +27,38 @@ def popular_list(counts: DataFrame, k: int = 10) -> DataFrame:
     return best.agg(F.transform(ranked, lambda r: r["product_id"]).alias("predicted"))
 
 
+def popular_ranks(counts: DataFrame) -> DataFrame:
+    """All products from the most bought on: ``DF[product_id, pop_rank]``.
+
+    Products of one count are numbered together, so no task sorts all of them.
+    """
+    known = counts.where(F.col("n").isNotNull() & F.col("product_id").isNotNull())
+    ranked = number_rows(known, [], ["product_id"], [-F.col("n")], "pop_rank")
+    return ranked.select("product_id", "pop_rank")
+
+
+def novel_popular(
+    counts: DataFrame, users: DataFrame, interactions: DataFrame, k: int = 10
+) -> DataFrame:
+    """The ``k`` most bought products that a user has not bought: ``DF[user_id, product_id, rank]``.
+
+    A user who bought b products needs the first k + b at most, so these are made
+    for each user and joined by rank: no list is cut short, and rows are in
+    proportion to users and purchases.
+    """
+    bought = interactions.select("user_id", "product_id").distinct()
+    many = bought.groupBy("user_id").agg(F.count("*").alias("b"))
+    asked = users.select("user_id").distinct().join(many, "user_id", "left").select(
+        "user_id",
+        F.explode(F.sequence(F.lit(1), F.lit(k) + F.coalesce("b", F.lit(0)).cast("int"))).alias("pop_rank"),
+    )
+    ranks = durable(popular_ranks(counts), "ranks")
+    rows = asked.join(ranks, "pop_rank").select(
+        "user_id", "product_id", F.col("pop_rank").alias("rank")
+    )
+    return novel_recommendations(rows, bought, k)
+
+
 def popularity_recommendations(counts: DataFrame, users: DataFrame, k: int = 10) -> DataFrame:
     """The same ``k`` products for every user: ``DF[user_id, predicted: array]``.
 

@@ -36,6 +36,7 @@ FEATURES = [
 TREES = 50
 DEPTH = 8
 SEED = 42
+PARTITIONS = 16
 THRESHOLD = 0.20
 
 # Copies of a user's total, and parts of the user's products, in the join of both.
@@ -128,16 +129,19 @@ def assemble(df: DataFrame) -> DataFrame:
 
 
 def fit_reorder(
-    dataset: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED
+    dataset: DataFrame,
+    trees: int = TREES,
+    depth: int = DEPTH,
+    seed: int = SEED,
+    partitions: int = PARTITIONS,
 ) -> RandomForestClassificationModel:
     """Random forest on a :func:`reorder_dataset` that was made durable.
 
-    Growing trees costs far more per row than reading it, so a dataset of fewer
-    partitions than cores is spread out.
+    Trees sample rows by partition and place. So rows are dealt to a given number
+    of ``partitions`` and sorted: the same rows give the same forest on any cluster.
     """
-    cores = dataset.sparkSession.sparkContext.defaultParallelism
-    if dataset.rdd.getNumPartitions() < cores:
-        dataset = dataset.repartition(cores, "user_id", "product_id")
+    pair = ["user_id", "product_id"]
+    dataset = dataset.repartition(partitions, *pair).sortWithinPartitions(*pair)
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed
     )

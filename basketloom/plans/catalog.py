@@ -160,8 +160,10 @@ def _popular(t: Tables, k: int = 10) -> DataFrame:
 
 _on_events("popularity_recommendations")(lambda t: lists.list_rows(_popular(t)))
 _on_events("novel_recommendations")(
-    lambda t: lists.novel_recommendations(
-        lists.list_rows(_popular(t, 30)), history.interactions(t.orders, t.prior)
+    lambda t: popularity.novel_popular(
+        stats.product_counts(_prior_lines(t)),
+        history.cohort_users(t.orders),
+        history.interactions(t.orders, t.prior),
     )
 )
 _on_events("ranking_metrics")(
@@ -412,8 +414,13 @@ QUERIES["als_recommend_subset"] = lambda spark, sf_dir: als.recommend(
 QUERIES["als_named"] = lambda spark, sf_dir: lists.recommend_named(
     als.recommend(_als(spark, sf_dir)), _products(spark, sf_dir)
 )
-QUERIES["als_novel"] = lambda spark, sf_dir: lists.novel_recommendations(
-    als.recommend(_als(spark, sf_dir), 30), _bought(spark, sf_dir)
+QUERIES["als_novel"] = lambda spark, sf_dir: als.novel(
+    _als(spark, sf_dir), _bought(spark, sf_dir)
+)
+QUERIES["als_novel_counts"] = lambda spark, sf_dir: (
+    als.novel(_als(spark, sf_dir), _bought(spark, sf_dir))
+    .groupBy("user_id")
+    .agg(F.count("*").alias("n"), F.max("rank").alias("last_rank"))
 )
 QUERIES["als_metrics"] = lambda spark, sf_dir: rankeval.ranking_metrics(
     _als_lists(spark, sf_dir), _truth(spark, sf_dir)

@@ -86,14 +86,14 @@ r AS (
          count(*) OVER (PARTITION BY user_id) AS n
   FROM s),
 t_orders AS (
-  SELECT user_id * 100 + day(dt) AS order_id, user_id,
+  SELECT user_id * 100000 + date_diff('day', DATE '1970-01-01', dt) AS order_id, user_id,
          CASE WHEN order_number < n THEN 'prior'
               WHEN user_id % 5 = 0 THEN 'test' ELSE 'train' END AS eval_set,
          CAST(order_number AS INT) AS order_number, CAST(dayofweek(dt) AS INT) AS order_dow,
          CAST(hour(ts) AS INT) AS order_hour_of_day
   FROM r),
 b AS (
-  SELECT user_id * 100 + day(dt) AS order_id, product_id, min(event_id) AS ln
+  SELECT user_id * 100000 + date_diff('day', DATE '1970-01-01', dt) AS order_id, product_id, min(event_id) AS ln
   FROM ev GROUP BY 1, 2),
 t_lines AS (
   SELECT b.order_id, b.product_id, o.eval_set,
@@ -318,11 +318,17 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY purchases DESC, product
 """,
     "popularity_recommendations": EVENTS
     + f'SELECT user_id, product_id, CAST(pop_rank AS INT) AS "rank" FROM ({_LISTED} 10)',
+    "als_novel_counts": EVENTS
+    + """
+, own AS (SELECT user_id, count(*) AS b FROM interactions GROUP BY 1)
+SELECT user_id, least(10, p - b) AS n, CAST(least(10, p - b) AS INT) AS last_rank
+FROM own, (SELECT count(DISTINCT product_id) AS p FROM interactions) WHERE p > b
+""",
     "novel_recommendations": EVENTS
     + f"""
 SELECT l.user_id, l.product_id,
        CAST(row_number() OVER (PARTITION BY l.user_id ORDER BY l.pop_rank) AS INT) AS "rank"
-FROM ({_LISTED} 30) l ANTI JOIN interactions i
+FROM ({_LISTED} 1000000) l ANTI JOIN interactions i
   ON l.user_id = i.user_id AND l.product_id = i.product_id
 QUALIFY row_number() OVER (PARTITION BY l.user_id ORDER BY l.pop_rank) <= 10
 """,

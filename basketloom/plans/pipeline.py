@@ -36,7 +36,7 @@ from basketloom.sources.tables import (
 
 @dataclass(frozen=True)
 class Config:
-    """Settings of a run; ``max_user_id`` trains on users up to that id only."""
+    """Settings of a run; ``max_user_id`` bounds the labelled rows the forest is fitted on."""
 
     max_user_id: int | None = None
     rank: int = als.RANK
@@ -115,25 +115,17 @@ def run_pipeline(
     all_pairs = durable(user_products(lines), "pairs")
     write_table(customer_profile(tables, pairs=all_pairs), f"{target}/customer_profile")
     pairs = all_pairs
-    if config.max_user_id is not None:
-        pairs = all_pairs.where(F.col("user_id") <= config.max_user_id)
 
-    bought = pairs.select("user_id", "product_id", "purchases")
-    maps = None
-    if not als.ids_fit(bought):
-        bought, *maps = als.index_ids(bought)
+    bought, *maps = als.index_ids(pairs.select("user_id", "product_id", "purchases"))
+    for name, ids in zip(("user_ids", "product_ids"), maps):
+        write_table(ids, f"{target}/models/{name}")
     als_model = als.fit_als(
         bought, config.rank, config.reg, config.alpha, config.iterations, config.seed
     )
     save_model(als_model, f"{target}/models/als")
-    recommended = als.recommend(als_model, config.k)
-    if maps:
-        recommended = als.restore_ids(recommended, *maps)
-        for name, ids in zip(("user_ids", "product_ids"), maps):
-            write_table(ids, f"{target}/models/{name}")
-    recommended = durable(recommended, "recommended")
+    recommended = durable(als.recommend_known(als_model, tuple(maps), config.k), "recommended")
     write_table(recommend_named(recommended, tables.products), f"{target}/recommendations")
-    truth = durable(actual_sets(tables.orders, tables.train, config.max_user_id), "truth")
+    truth = durable(actual_sets(tables.orders, tables.train), "truth")
     cohort_counts = pairs.groupBy("product_id").agg(F.sum("purchases").alias("n"))
     popular = popularity_recommendations(
         cohort_counts, truth.select("user_id").distinct(), config.k
@@ -142,8 +134,8 @@ def run_pipeline(
     write_table(
         compare_models(
             {
-                "popularity": ranking_metrics(popular, truth, config.k),
-                "als": ranking_metrics(listed, truth, config.k),
+                "popularity": ranking_metrics(popular, truth, config.k, users="truth"),
+                "als": ranking_metrics(listed, truth, config.k, users="truth"),
             }
         ),
         f"{target}/model_comparison",
@@ -156,7 +148,9 @@ def run_pipeline(
                 tables.prior,
                 tables.train,
                 max_user_id=config.max_user_id,
-                pairs=pairs,
+                pairs=pairs if config.max_user_id is None else pairs.where(
+                    F.col("user_id") <= config.max_user_id
+                ),
             ),
             {"train": 0.7, "validation": 0.15, "test": 0.15},
             config.seed,

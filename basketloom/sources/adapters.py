@@ -138,8 +138,7 @@ def store_sales(spark: SparkSession, source: str, path: str) -> Tables:
 def store_events(spark: SparkSession, source: str, path: str) -> Tables:
     """From ``events`` and ``part``: few products, many repeats, all hours.
 
-    One order per user and day. Events cover one month, so the day of the month
-    identifies an order of a user, and a user has at most 31 orders.
+    One order per user and day, whose id holds both, the day as its number since 1970.
     """
     events = _read(spark, source, "events").select(
         "user_id",
@@ -148,14 +147,16 @@ def store_events(spark: SparkSession, source: str, path: str) -> Tables:
         F.to_date("ts").alias("_day"),
         F.get_json_object("props", "$.k").cast("bigint").alias("product_id"),
     )
-    order_id = F.col("user_id") * 100 + F.dayofmonth("_day")
+    order_id = F.col("user_id") * 100000 + F.unix_date("_day")
     days = events.groupBy("user_id", "_day").agg(F.min("ts").alias("_start"))
-    month = Window.partitionBy("user_id")
-    orders = days.select(
+    numbered = number_rows(
+        durable(days, "days"), ["user_id"], ["_day"], [F.trunc("_day", "month")], "order_number", "_n"
+    )
+    orders = numbered.select(
         order_id.alias("order_id"),
         "user_id",
-        F.row_number().over(month.orderBy("_day")).alias("order_number"),
-        F.count("*").over(month).alias("_n"),
+        "order_number",
+        "_n",
         (F.dayofweek("_day") - 1).alias("order_dow"),
         F.hour("_start").alias("order_hour_of_day"),
     ).withColumn("eval_set", _eval_set())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -11,13 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the session (``spark.checkpoint.dir``).
 
-    Only where the session names none, as in tests, is one made for it.
+    Where the session names none, one is made for a local master only: a folder of
+    one machine is not seen by the executors of a cluster.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="basketloom-"))
-    return context.getCheckpointDir()
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_dir()
+
+
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="basketloom-")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
