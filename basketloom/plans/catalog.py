@@ -7,6 +7,9 @@ purchases on the events (see ``sources.adapters``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import fields
+from functools import reduce
+from operator import add
 
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.recommendation import ALSModel
@@ -17,8 +20,9 @@ from basketloom.operators import als, classeval, history, popularity, profile, r
 from basketloom.operators import recommend as lists
 from basketloom.operators import reorder, stats
 from basketloom.operators.names import with_product_names
+from basketloom.plans import facts
 from basketloom.plans.experiments import tune_on_last_order
-from basketloom.plans.pipeline import popularity_sink, write_dashboard
+from basketloom.plans.pipeline import popularity_sink, run_pipeline, write_dashboard
 from basketloom.plans.serving import user_profiles, user_recommendations, user_reorders
 from basketloom.sources.adapters import ADAPTERS
 from basketloom.sources.durable import durable, fresh_path
@@ -243,8 +247,9 @@ _on_events("reorder_dataset")(
     )
 )
 _on_events("reorder_dataset_all_users")(
-    lambda t: reorder.reorder_dataset(t.orders, t.prior, t.train, labelled_only=False).select(
-        "user_id", "product_id", "label"
+    lambda t: _rounded(
+        reorder.reorder_dataset(t.orders, t.prior, t.train, labelled_only=False),
+        "avg_cart_position", "purchase_rate",
     )
 )
 _on_sales("split_users")(lambda t: reorder.split_users(history.cohort_users(t.orders)))
@@ -286,9 +291,25 @@ def _rate_reorder_list(t: Tables) -> DataFrame:
 
 
 def _scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, sum of all numbers and length of all texts of each table read back."""
     path = fresh_path(spark, "csv")
     write_tables(event_tables(spark, sf_dir), path, "csv")
-    return stats.dashboard_stats(load_tables(spark, path, "csv"))
+    loaded = load_tables(spark, path, "csv")
+    sums = []
+    for field in fields(loaded):
+        df = getattr(loaded, field.name)
+        kinds = dict(df.dtypes)
+        numbers = [F.sum(F.col(c).cast("bigint")) for c, kind in kinds.items() if kind != "string"]
+        texts = [F.sum(F.length(c)).cast("bigint") for c, kind in kinds.items() if kind == "string"]
+        sums.append(
+            df.agg(
+                F.lit(field.name).alias("table_name"),
+                F.count("*").alias("n_rows"),
+                reduce(add, numbers).alias("numbers"),
+                (reduce(add, texts) if texts else F.lit(0).cast("bigint")).alias("characters"),
+            )
+        )
+    return reduce(DataFrame.union, sums)
 
 
 def _scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,10 +327,30 @@ def _popularity_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dashboard_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four tables read back, as rows of table, key, name and value."""
     path = fresh_path(spark, "dashboard")
     write_dashboard(event_tables(spark, sf_dir), path)
-    return spark.read.json(
-        f"{path}/orders_by_hour", schema="order_hour_of_day int, n_orders bigint"
+
+    def back(name: str, schema: str, rows: str) -> DataFrame:
+        read = spark.read.json(f"{path}/{name}", schema=schema)
+        return read.selectExpr(f"'{name}' AS part", rows)
+
+    counts = ["orders", "users", "products", "interactions", "reorder_rate", "basket"]
+    stacked = ", ".join(f"0L, '{c}', CAST({c} AS DOUBLE)" for c in counts)
+    as_row = "stack(1, CAST({} AS BIGINT), {}, CAST({} AS DOUBLE)) AS (key, name, value)"
+    hist = "{} int, n_orders bigint"
+    return reduce(
+        DataFrame.union,
+        [
+            back("stats", ", ".join(f"{c} double" for c in counts),
+                 f"stack({len(counts)}, {stacked}) AS (key, name, value)"),
+            back("top_products", "product_id bigint, product_name string, n bigint",
+                 as_row.format("product_id", "product_name", "n")),
+            *(
+                back(name, hist.format(key), as_row.format(key, "''", "n_orders"))
+                for name, key in (("orders_by_hour", "order_hour_of_day"), ("orders_by_dow", "order_dow"))
+            ),
+        ],
     )
 
 
@@ -319,7 +360,8 @@ QUERIES["popularity_sink"] = _popularity_sink
 QUERIES["dashboard_sink"] = _dashboard_sink
 
 
-# Fitted models: the result depends on the fit, so there is no SQL for these
+# Fitted models: the result depends on the fit, so these return what holds for any fit
+# (see ``plans.facts``), from all rows of the whole result
 
 
 def _bought(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -396,26 +438,80 @@ def _als_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of both models; those of the factors only as being rates."""
     truth = _truth(spark, sf_dir)
     popular = _popular(event_tables(spark, sf_dir))
-    return rankeval.compare_models(
+    compared = rankeval.compare_models(
         {
             "popularity": rankeval.ranking_metrics(popular, truth, users="truth"),
             "als": rankeval.ranking_metrics(_als_lists(spark, sf_dir), truth, users="truth"),
         }
     )
+    return compared.select(
+        "model",
+        "n_users",
+        *[F.when(F.col("model") == "popularity", F.round(c, 6)).alias(c) for c in RANKING],
+        facts.in_bounds(*RANKING),
+    )
+
+
+RANKING = ["precision", "recall", "ndcg"]
+RATES = ["precision", "recall", "accuracy", "f1"]
+
+
+def _cell_facts(metrics: DataFrame, *keys: str) -> DataFrame:
+    """Rows of either label behind a row of counts and rates."""
+    return metrics.select(
+        *keys,
+        (F.col("tp") + F.col("fn")).alias("n_positive"),
+        (F.col("fp") + F.col("tn")).alias("n_negative"),
+        facts.in_bounds(*RATES),
+    )
+
+
+def _rf_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    likely = F.col("probability") > 0.5
+    unsure = F.abs(F.col("probability") - 0.5) < 1e-9
+    return _scored(spark, sf_dir, "test").select(
+        "user_id", "product_id", "label", facts.in_bounds("probability"),
+        (unsure | (likely == (F.col("prediction") == 1))).alias("agrees"),
+    )
+
+
+def _reorder_facts(spark: SparkSession, sf_dir: str, users: DataFrame | None) -> DataFrame:
+    t, forest = event_tables(spark, sf_dir), _forest(spark, sf_dir)
+    scored = reorder.score_reorder(
+        forest, reorder.reorder_features(t.orders, t.prior, users=users)
+    )
+    found = (
+        reorder.reorder_predictions(t, forest) if users is None else user_reorders(t, forest, users)
+    )
+    return facts.reorder_facts(found, scored, t.products, reorder.THRESHOLD)
+
 
+def _full_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run from CSV to result tables; of these the profiles."""
+    source, target = fresh_path(spark, "source"), fresh_path(spark, "run")
+    write_tables(event_tables(spark, sf_dir), source, "csv")
+    run_pipeline(spark, source, target)
+    return spark.read.parquet(f"{target}/customer_profile")
 
-QUERIES["als_fit"] = lambda spark, sf_dir: _als(spark, sf_dir).userFactors
-QUERIES["als_recommend_all"] = lambda spark, sf_dir: als.recommend(_als(spark, sf_dir))
-QUERIES["als_recommend_subset"] = lambda spark, sf_dir: als.recommend(
-    _loaded_als(spark, sf_dir), 10, _labelled(spark, sf_dir)
+
+QUERIES["als_fit"] = lambda spark, sf_dir: facts.factor_facts(_als(spark, sf_dir))
+QUERIES["als_recommend_all"] = lambda spark, sf_dir: facts.list_facts(
+    als.recommend(_als(spark, sf_dir)), _bought(spark, sf_dir)
+)
+QUERIES["als_recommend_subset"] = lambda spark, sf_dir: facts.list_facts(
+    als.recommend(_loaded_als(spark, sf_dir), 10, _labelled(spark, sf_dir)),
+    _bought(spark, sf_dir),
 )
-QUERIES["als_named"] = lambda spark, sf_dir: lists.recommend_named(
-    als.recommend(_als(spark, sf_dir)), _products(spark, sf_dir)
+QUERIES["als_named"] = lambda spark, sf_dir: facts.list_facts(
+    lists.recommend_named(als.recommend(_als(spark, sf_dir)), _products(spark, sf_dir)),
+    _bought(spark, sf_dir),
+    _products(spark, sf_dir),
 )
-QUERIES["als_novel"] = lambda spark, sf_dir: als.novel(
-    _als(spark, sf_dir), _bought(spark, sf_dir)
+QUERIES["als_novel"] = lambda spark, sf_dir: facts.novel_facts(
+    als.novel(_als(spark, sf_dir), _bought(spark, sf_dir)), _bought(spark, sf_dir)
 )
 QUERIES["als_novel_counts"] = lambda spark, sf_dir: (
     als.novel(_als(spark, sf_dir), _bought(spark, sf_dir))
@@ -424,27 +520,30 @@ QUERIES["als_novel_counts"] = lambda spark, sf_dir: (
 )
 QUERIES["als_metrics"] = lambda spark, sf_dir: rankeval.ranking_metrics(
     _als_lists(spark, sf_dir), _truth(spark, sf_dir)
-)
-QUERIES["als_grid"] = lambda spark, sf_dir: tune_on_last_order(event_tables(spark, sf_dir))
+).select("n_users", facts.in_bounds(*RANKING))
+QUERIES["als_grid"] = lambda spark, sf_dir: tune_on_last_order(
+    event_tables(spark, sf_dir)
+).select("position", "rank", "reg", "n_users", facts.in_bounds(*RANKING))
 QUERIES["model_comparison"] = _model_comparison
-QUERIES["rf_scores"] = lambda spark, sf_dir: _scored(spark, sf_dir, "test").select(
-    "user_id", "product_id", "label", "probability", "prediction"
-)
-QUERIES["rf_default_eval"] = lambda spark, sf_dir: classeval.classification_metrics(
-    _scored(spark, sf_dir, "test")
-)
-QUERIES["rf_threshold_sweep"] = lambda spark, sf_dir: classeval.threshold_sweep(
-    _scored(spark, sf_dir, "validation")
+QUERIES["rf_scores"] = _rf_scores
+QUERIES["rf_default_eval"] = lambda spark, sf_dir: _cell_facts(
+    classeval.classification_metrics(_scored(spark, sf_dir, "test"))
 )
-QUERIES["rf_holdout"] = lambda spark, sf_dir: classeval.classification_metrics(
-    _scored(spark, sf_dir, "test"), reorder.THRESHOLD
+QUERIES["rf_threshold_sweep"] = lambda spark, sf_dir: _cell_facts(
+    classeval.threshold_sweep(_scored(spark, sf_dir, "validation")), "threshold"
 )
-QUERIES["reorder_predictions"] = lambda spark, sf_dir: reorder.reorder_predictions(
-    event_tables(spark, sf_dir), _forest(spark, sf_dir)
+QUERIES["rf_holdout"] = lambda spark, sf_dir: _cell_facts(
+    classeval.classification_metrics(_scored(spark, sf_dir, "test"), reorder.THRESHOLD)
 )
-QUERIES["user_recommendations"] = lambda spark, sf_dir: user_recommendations(
-    event_tables(spark, sf_dir), _als(spark, sf_dir), _labelled(spark, sf_dir)
+QUERIES["reorder_predictions"] = lambda spark, sf_dir: _reorder_facts(spark, sf_dir, None)
+QUERIES["user_recommendations"] = lambda spark, sf_dir: facts.list_facts(
+    user_recommendations(
+        event_tables(spark, sf_dir), _als(spark, sf_dir), _labelled(spark, sf_dir)
+    ),
+    _bought(spark, sf_dir),
+    _products(spark, sf_dir),
 )
-QUERIES["user_reorders"] = lambda spark, sf_dir: user_reorders(
-    event_tables(spark, sf_dir), _forest(spark, sf_dir), _labelled(spark, sf_dir)
+QUERIES["user_reorders"] = lambda spark, sf_dir: _reorder_facts(
+    spark, sf_dir, _labelled(spark, sf_dir)
 )
+QUERIES["full_pipeline"] = _full_pipeline

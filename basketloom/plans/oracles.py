@@ -242,19 +242,91 @@ _LISTED = """
   SELECT u.user_id, p.product_id, p.pop_rank FROM labelled u, popular p WHERE p.pop_rank <= """
 
 
-def _split(seed: int = 42) -> str:
-    return (
-        f"CASE WHEN (((user_id % 1000003) * 2654435761 + {seed}) % 10007) / 10007.0 < 0.8 "
-        "THEN 'train' ELSE 'test' END"
-    )
+def _fraction(seed: int = 42) -> str:
+    return f"(((user_id % 1000003) * 2654435761 + {seed}) % 10007) / 10007.0"
 
 
+def _split() -> str:
+    return f"CASE WHEN {_fraction()} < 0.8 THEN 'train' ELSE 'test' END"
+
+
+_SPLIT_DATASET = f""",
+parted AS (
+  SELECT *, CASE WHEN {_fraction()} < 0.7 THEN 'train'
+                 WHEN {_fraction()} < 0.85 THEN 'validation' ELSE 'test' END AS split
+  FROM dataset WHERE user_id IN (SELECT user_id FROM labelled))
+"""
+
+_LABELS = """count(*) FILTER (WHERE label = 1) AS n_positive,
+       count(*) FILTER (WHERE label = 0) AS n_negative, true AS in_bounds"""
+
+_TEST_LABELS = f"SELECT {_LABELS} FROM parted WHERE split = 'test'"
+
+_NONE = "CAST(0 AS BIGINT)"
+
+
+def _lists(where: str = "true", more: str = "") -> str:
+    """Facts about complete lists of ten, of the users that ``where`` chooses."""
+    return f"""
+, catalogue AS (SELECT count(DISTINCT product_id) AS p FROM interactions)
+SELECT DISTINCT user_id, least(10, p) AS n, CAST(least(10, p) AS INT) AS last_rank,
+       least(10, p) AS n_products, {_NONE} AS n_unknown, {_NONE} AS n_rising{more}
+FROM interactions, catalogue WHERE {where}
+"""
+
+
+_IS_LABELLED = "user_id IN (SELECT user_id FROM labelled)"
+
+_NAMED = f", {_NONE} AS n_misnamed"
+
+
+def _judged_pairs(where: str = "true") -> str:
+    return f"""
+SELECT user_id, count(*) AS n_pairs, {_NONE} AS n_short, {_NONE} AS n_unlikely,
+       {_NONE} AS n_rising, {_NONE} AS n_different
+FROM features WHERE {where} GROUP BY 1
+"""
+
+
+def _sums(table: str, numbers: str, characters: str = "0", name: str = "") -> str:
+    return f"""SELECT '{name or table}' AS table_name, count(*) AS n_rows,
+       CAST(sum({numbers}) AS BIGINT) AS numbers, CAST(sum({characters}) AS BIGINT) AS characters
+FROM {table}"""
+
+
+_TABLE_SUMS = "\nUNION ALL ".join(
+    [
+        _sums("t_orders", "order_id + user_id + order_number + order_dow + order_hour_of_day",
+              "length(eval_set)", "orders"),
+        _sums("t_prior", "order_id + product_id + add_to_cart_order + reordered", name="prior"),
+        _sums("t_train", "order_id + product_id + add_to_cart_order + reordered", name="train"),
+        _sums("products", "product_id + aisle_id + department_id", "length(product_name)"),
+        _sums("aisles", "aisle_id", "length(aisle)"),
+        _sums("departments", "department_id", "length(department)"),
+    ]
+)
+
+_DASHBOARD = f"""
+, facts AS ({_STATS}),
+top AS ({_top(10)}),
+hours AS ({_BY_HOUR}),
+days AS (SELECT CAST(d.i AS INT) AS order_dow, count(o.order_id) AS n_orders
+         FROM range(7) d(i) LEFT JOIN t_orders o ON o.order_dow = d.i GROUP BY 1)
+SELECT 'stats' AS part, CAST(0 AS BIGINT) AS "key", name, CAST(value AS DOUBLE) AS "value"
+FROM (SELECT unnest(['orders', 'users', 'products', 'interactions', 'reorder_rate', 'basket']) AS name,
+             unnest([CAST(orders AS DOUBLE), users, products, interactions, reorder_rate, basket]) AS value
+      FROM facts)
+UNION ALL SELECT 'top_products', product_id, product_name, CAST(n AS DOUBLE) FROM top
+UNION ALL SELECT 'orders_by_hour', order_hour_of_day, '', CAST(n_orders AS DOUBLE) FROM hours
+UNION ALL SELECT 'orders_by_dow', order_dow, '', CAST(n_orders AS DOUBLE) FROM days
+"""
+
 ORACLES: dict[str, str] = {
     "table_counts": SALES + _COUNTS,
     "scan_parquet": EVENTS + _COUNTS,
     "dashboard_stats": SALES + _STATS,
     "dashboard_stats_events": EVENTS + _STATS,
-    "scan_csv": EVENTS + _STATS,
+    "scan_csv": EVENTS + _TABLE_SUMS,
     "unique_users": SALES
     + "SELECT count(*) AS users FROM (SELECT DISTINCT user_id FROM t_orders)",
     "avg_basket": SALES
@@ -266,7 +338,7 @@ SELECT CAST(d.i AS INT) AS order_dow, count(o.order_id) AS n_orders
 FROM range(7) d(i) LEFT JOIN t_orders o ON o.order_dow = d.i GROUP BY 1
 """,
     "orders_by_hour": EVENTS + _BY_HOUR,
-    "dashboard_sink": EVENTS + _BY_HOUR,
+    "dashboard_sink": EVENTS + _DASHBOARD,
     "product_counts": SALES + "SELECT product_id, count(*) AS n FROM t_prior GROUP BY 1",
     "top_products": SALES + _top(10),
     "popularity_table": SALES + _top(100),
@@ -376,7 +448,7 @@ FROM history GROUP BY 1, 2
     + f"""
 SELECT {_FEATURE_COLUMNS}, label FROM dataset WHERE user_id IN (SELECT user_id FROM labelled)
 """,
-    "reorder_dataset_all_users": EVENTS + "SELECT user_id, product_id, label FROM dataset",
+    "reorder_dataset_all_users": EVENTS + f"SELECT {_FEATURE_COLUMNS}, label FROM dataset",
     "split_users": SALES + f"SELECT user_id, {_split()} AS split FROM labelled",
     "confusion": EVENTS + f"SELECT {_CELLS} FROM scored, (SELECT CAST(0.2 AS DOUBLE) AS t)",
     "threshold_sweep": EVENTS + _sweep(13) + _SHOW_SWEEP,
@@ -406,4 +478,62 @@ SELECT user_id, CAST(rn AS INT) AS "rank", product_id, product_name,
        round(avg_cart_position, 2) AS avg_cart_position
 FROM likely WHERE rn <= 10
 """,
+    "als_fit": EVENTS
+    + """
+SELECT 'user' AS side, user_id AS id, CAST(20 AS INT) AS n_factors, true AS nonnegative
+FROM interactions GROUP BY user_id
+UNION ALL SELECT 'product', product_id, 20, true FROM interactions GROUP BY product_id
+""",
+    "als_recommend_all": EVENTS + _lists(),
+    "als_recommend_subset": EVENTS + _lists(_IS_LABELLED),
+    "als_named": EVENTS + _lists(more=_NAMED),
+    "als_novel": EVENTS
+    + f"""
+, own AS (SELECT user_id, count(*) AS b FROM interactions GROUP BY 1)
+SELECT user_id, least(10, p - b) AS n, CAST(least(10, p - b) AS INT) AS last_rank,
+       least(10, p - b) AS n_products, {_NONE} AS n_unknown, {_NONE} AS n_rising, {_NONE} AS n_bought
+FROM own, (SELECT count(DISTINCT product_id) AS p FROM interactions) WHERE p > b
+""",
+    "als_metrics": EVENTS
+    + """
+SELECT count(DISTINCT user_id) AS n_users, true AS in_bounds
+FROM truth WHERE user_id IN (SELECT user_id FROM interactions)
+""",
+    "als_grid": EVENTS
+    + """
+, ends AS (SELECT user_id, max(order_number) AS last_number FROM prior_orders
+           WHERE user_id IN (SELECT user_id FROM labelled) GROUP BY 1),
+tuned AS (
+  SELECT h.user_id FROM history h JOIN ends e ON h.user_id = e.user_id GROUP BY 1
+  HAVING bool_or(h.order_number = e.last_number) AND bool_or(h.order_number < e.last_number))
+SELECT g.position, g.rank, g.reg, n.n_users, true AS in_bounds
+FROM (VALUES (0, 5, CAST(0.05 AS DOUBLE)), (1, 5, 0.1), (2, 10, 0.05), (3, 10, 0.1), (4, 20, 0.05),
+             (5, 20, 0.1)) g(position, rank, reg),
+     (SELECT count(*) AS n_users FROM tuned) n
+""",
+    "model_comparison": EVENTS
+    + _PER_USER_METRICS
+    + """
+SELECT 'popularity' AS model, count(*) AS n_users, round(avg("precision"), 6) AS "precision",
+       round(avg(recall), 6) AS recall, round(avg(ndcg), 6) AS ndcg, true AS in_bounds
+FROM judged WHERE model = 'popular'
+UNION ALL SELECT 'als', count(DISTINCT user_id), NULL, NULL, NULL, true FROM truth
+""",
+    "rf_scores": EVENTS
+    + _SPLIT_DATASET
+    + """
+SELECT user_id, product_id, label, true AS in_bounds, true AS agrees FROM parted WHERE split = 'test'
+""",
+    "rf_default_eval": EVENTS + _SPLIT_DATASET + _TEST_LABELS,
+    "rf_holdout": EVENTS + _SPLIT_DATASET + _TEST_LABELS,
+    "rf_threshold_sweep": EVENTS
+    + _SPLIT_DATASET
+    + f"""
+SELECT CAST(round(0.05 * (r.i + 2), 2) AS DOUBLE) AS threshold, l.*
+FROM range(13) r(i), (SELECT {_LABELS} FROM parted WHERE split = 'validation') l
+""",
+    "reorder_predictions": EVENTS + _judged_pairs(),
+    "user_recommendations": EVENTS + _lists(_IS_LABELLED, _NAMED),
+    "user_reorders": EVENTS + _judged_pairs(_IS_LABELLED),
+    "full_pipeline": EVENTS + _PROFILE,
 }
