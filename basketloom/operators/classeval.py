@@ -39,18 +39,12 @@ def with_rates(counts: DataFrame) -> DataFrame:
     return rates.withColumn("f1", ratio(p * r * 2, p + r))
 
 
-def _known(probability: str = "probability") -> Column:
-    """The probability; a null one is an error, as no cell would count the row."""
-    missing = F.raise_error(F.lit(f"{probability} is null")).cast("double")
-    return F.coalesce(F.col(probability), missing)
-
-
 def confusion(scored: DataFrame, threshold: float) -> DataFrame:
     """One row ``DF[tp, fp, fn, tn]``; positive means ``probability >= threshold``.
 
-    A null probability is an error.
+    Rows without a probability or a label are in no cell.
     """
-    return scored.agg(*_counts(_known() >= threshold))
+    return scored.agg(*_counts(F.col("probability") >= threshold))
 
 
 def classification_metrics(scored: DataFrame, threshold: float | None = None) -> DataFrame:
@@ -66,8 +60,8 @@ def threshold_sweep(
     """Counts and rates for each threshold, in one pass over the rows.
 
     All thresholds are counted side by side in one aggregate, so a task hands on
-    a single row and nothing is multiplied or shuffled by threshold. A null
-    probability is an error.
+    a single row and nothing is multiplied or shuffled by threshold. Rows without
+    a probability or a label are in no cell.
     """
     steps = sorted(set(float(t) for t in thresholds))
     sums = ["count_if(label = 1) AS pos", "count_if(label = 0) AS neg"]
@@ -76,7 +70,7 @@ def threshold_sweep(
         sums.append(f"count_if(probability >= {t}D AND label = 0) AS fp{i}")
     rows = ", ".join(f"{t}D, tp{i}, fp{i}" for i, t in enumerate(steps))
     counts = (
-        scored.withColumn("probability", _known())
+        scored.where("probability IS NOT NULL")
         .agg(*[F.expr(s) for s in sums])
         .selectExpr(f"stack({len(steps)}, {rows}) AS (threshold, tp, fp)", "pos", "neg")
         .selectExpr("threshold", "tp", "fp", "pos - tp AS fn", "neg - fp AS tn")

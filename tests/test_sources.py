@@ -83,7 +83,7 @@ def test_manifest(spark):
 
 
 def test_als_lists(spark):
-    rows = catalog.QUERIES["als_recommend_all"](spark, SF_DIR).collect()
+    rows = als.recommend(catalog._als(spark, SF_DIR)).collect()
     per_user = {}
     for r in rows:
         per_user.setdefault(r.user_id, []).append(r)
@@ -124,8 +124,8 @@ def test_durable_tables_have_no_lineage(spark):
 
 
 def test_novel_lists_do_not_repeat_purchases(spark):
-    novel = catalog.QUERIES["als_novel"](spark, SF_DIR)
     bought = catalog._bought(spark, SF_DIR)
+    novel = als.novel(catalog._als(spark, SF_DIR), bought)
     assert novel.join(bought, ["user_id", "product_id"]).isEmpty()
 
 
