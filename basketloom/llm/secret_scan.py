@@ -3,8 +3,8 @@
 Three patterns find assignments, access keys and long hex strings. Beside them,
 every long string that follows a sensitive word is compressed by zstandard with a
 dictionary of common identifiers and the text around it. What still takes nearly
-its own length is no identifier and no word of its surroundings: it is reported
-as ``novel``.
+its own length, as a whole or in most pieces of 32 characters, is no identifier and
+no word of its surroundings: it is reported as ``novel``.
 """
 
 from __future__ import annotations
@@ -44,6 +44,8 @@ REACH = 64
 AROUND = 512
 #: Marginal compressed bytes for a character, from which a candidate is novel.
 NOVELTY = 0.85
+#: Characters of a piece of a long candidate.
+PIECE = 32
 
 IDENTIFIERS = (
     "access account action address admin algorithm application argument array assert async "
@@ -90,8 +92,8 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return spans
 
 
-def novelty(candidate: str, around: str) -> float:
-    """Compressed bytes a character that ``candidate`` takes beyond an empty text."""
+def novelties(pieces: list[str], around: str) -> list[float]:
+    """Compressed bytes a character that each piece takes beyond an empty text."""
     primer = zstandard.ZstdCompressionDict(
         (IDENTIFIERS + around).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT
     )
@@ -99,8 +101,20 @@ def novelty(candidate: str, around: str) -> float:
         level=19, dict_data=primer, write_checksum=False, write_content_size=False,
         write_dict_id=False,
     )
-    raw = candidate.encode()
-    return (len(press.compress(raw)) - len(press.compress(b""))) / len(raw)
+    empty = len(press.compress(b""))
+    return [(len(press.compress(p.encode())) - empty) / len(p.encode()) for p in pieces]
+
+
+def is_novel(candidate: str, around: str, threshold: float = NOVELTY) -> bool:
+    """Whether the whole candidate, or most of its pieces, is novel.
+
+    The coder comes near the entropy of a small alphabet only in long strings, so
+    a long candidate is judged by pieces of one length.
+    """
+    last = max(0, len(candidate) - PIECE)
+    pieces = [candidate[i : i + PIECE] for i in sorted({*range(0, last, PIECE), last})]
+    whole, *parts = novelties([candidate, *pieces], around)
+    return whole >= threshold or 2 * sum(p >= threshold for p in parts) > len(parts)
 
 
 def _mixed(candidate: str) -> bool:
@@ -126,7 +140,7 @@ def novel_spans(
             if any(s < end and start < e for s, e in taken):
                 continue
             around = text[max(0, start - AROUND) : start] + text[end : end + AROUND]
-            if novelty(found[0], around) >= threshold:
+            if is_novel(found[0], around, threshold):
                 out.append((start, end, "novel"))
     return out
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import string
 import zlib
 from collections import Counter
 
@@ -193,6 +194,19 @@ def test_secrets(docs):
     assert "hunter22" not in {r.doc_id: r.text for r in hidden.collect()}[6]
 
 
+@pytest.mark.parametrize("alphabet", ["0123456789ABCDEF", string.ascii_lowercase + string.digits,
+                                      string.ascii_letters + string.digits + "+/"])
+def test_secrets_of_any_length(alphabet):
+    rng = random.Random(6)
+    for n in (16, 24, 32, 33, 40, 64, 100, 200, 400, 600, 2000):
+        key = "".join(rng.choice(alphabet) for _ in range(n))
+        text = f"the request sends Bearer {key} in its header"
+        assert [text[s:e] for s, e, _ in secret_scan.novel_spans(text, [])] == [key]
+        assert key not in secret_scan.redacted(text)
+    names = "user_authentication_configuration_" * 10 + "1"
+    assert secret_scan.novel_spans(f"the auth value {names} is set", []) == []
+
+
 def brute_repeats(rows, window):
     seen = Counter()
     raws = [(t or "").encode() for _, t in rows]
