@@ -4,7 +4,7 @@ Three patterns find assignments, access keys and long hex strings. Beside them,
 every long string that follows a sensitive word is compressed by zstandard with a
 dictionary of common identifiers and the text around it. What still takes nearly
 its own length, as a whole or in most pieces of 32 characters, is no identifier and
-no word of its surroundings: it is reported as ``novel``.
+no word of its surroundings: it is reported as ``novel``, with all its copies.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -36,6 +37,8 @@ SENSITIVE = re.compile(
     r"(?ai:passw|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential"
     r"|private[_-]?key|bearer|signature)"
 )
+#: Characters of the shortest candidate.
+SHORTEST = 16
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 
 #: Characters after a sensitive word in which a candidate starts.
@@ -122,27 +125,80 @@ def _mixed(candidate: str) -> bool:
     return sum(any(map(kind, candidate)) for kind in kinds) > 1
 
 
-def novel_spans(
-    text: str, known: list[tuple[int, int, str]], threshold: float = NOVELTY
-) -> list[tuple[int, int, str]]:
-    """Incompressible strings after a sensitive word that no known span touches."""
-    taken = sorted((s, e) for s, e, _ in known)
-    out: list[tuple[int, int, str]] = []
+def _candidates(text: str) -> Iterator[tuple[int, int]]:
+    """Long strings of mixed characters that start in reach of a sensitive word."""
     done = 0
     for word in SENSITIVE.finditer(text):
         at = max(word.end(), done)
         while (found := CANDIDATE.search(text, at, word.end() + REACH + 16)) is not None:
             found = CANDIDATE.match(text, found.start())
-            start, end = found.span()
-            at = done = end
-            if start > word.end() + REACH or not _mixed(found[0]):
-                continue
-            if any(s < end and start < e for s, e in taken):
-                continue
-            around = text[max(0, start - AROUND) : start] + text[end : end + AROUND]
-            if is_novel(found[0], around, threshold):
-                out.append((start, end, "novel"))
-    return out
+            at = done = found.end()
+            if found.start() <= word.end() + REACH and _mixed(found[0]):
+                yield found.span()
+
+
+def _core(candidate: str) -> str:
+    """A candidate without an assignment's sign before it."""
+    core = candidate.lstrip("=")
+    return core if len(core) >= SHORTEST else candidate
+
+
+def _occurrences(text: str, cores: set[str]) -> dict[str, list[tuple[int, int]]]:
+    """All places of the strings in a text, found by their first characters."""
+    heads: dict[str, list[str]] = {}
+    for core in cores:
+        heads.setdefault(core[:SHORTEST], []).append(core)
+    places: dict[str, list[tuple[int, int]]] = {core: [] for core in cores}
+    for run in CANDIDATE.finditer(text):
+        for i in range(run.start(), run.end() - SHORTEST + 1):
+            for core in heads.get(text[i : i + SHORTEST], ()):
+                if text.startswith(core, i):
+                    places[core].append((i, i + len(core)))
+    return places
+
+
+def novel_spans(
+    text: str, known: list[tuple[int, int, str]], threshold: float = NOVELTY
+) -> list[tuple[int, int, str]]:
+    """Incompressible strings after a sensitive word that no known span touches.
+
+    Neither copies of a candidate nor other candidates and known spans explain it:
+    they are blank in its surroundings. A novel string is reported wherever it stands.
+    """
+    spans = list(_candidates(text))
+    if not spans:
+        return []
+    taken = np.zeros(len(text), bool)
+    for s, e, _ in known:
+        taken[s:e] = True
+    places = _occurrences(text, {_core(text[s:e]) for s, e in spans})
+    hidden = taken.copy()
+    for s, e in [*spans, *(p for found in places.values() for p in found)]:
+        hidden[s:e] = True
+    letters = list(text)
+    for i in np.flatnonzero(hidden).tolist():
+        letters[i] = " "
+    plain = "".join(letters)
+    novel: set[str] = set()
+    out: list[tuple[int, int, str]] = []
+
+    def report(start: int, end: int) -> None:
+        if not taken[start:end].any():
+            taken[start:end] = True
+            out.append((start, end, "novel"))
+
+    for start, end in spans:
+        if taken[start:end].any():
+            continue
+        around = plain[max(0, start - AROUND) : start] + plain[end : end + AROUND]
+        core = _core(text[start:end])
+        if core in novel or is_novel(text[start:end], around, threshold):
+            novel.add(core)
+            report(start, end)
+    for core in sorted(novel, key=lambda c: (-len(c), c)):
+        for start, end in places[core]:
+            report(start, end)
+    return sorted(out)
 
 
 def joined(spans: list[tuple[int, int, str]]) -> str:

@@ -207,6 +207,16 @@ def test_secrets_of_any_length(alphabet):
     assert secret_scan.novel_spans(f"the auth value {names} is set", []) == []
 
 
+def test_secrets_with_copies_nearby():
+    rng = random.Random(7)
+    key = "".join(rng.choice("ABCDEFGHabcdefgh01234567+/KLMNOPQRSTklmnopqrst") for _ in range(40))
+    for text in (f"Authorization: Bearer {key}\ncurl -H 'Authorization: Bearer {key}'\n", f"signature={key} and again {key}",
+                 f"{key} stands here, bearer {key} there", f"bearer {key}\npassphrase: x{key}y", f"token: {key}\nbearer {key}"):
+        assert key not in secret_scan.redacted(text)
+    text = f"bearer {key} " + "plain words " * 400 + key
+    assert [text[s:e] for s, e, _ in secret_scan.novel_spans(text, [])] == [key, key]
+
+
 def brute_repeats(rows, window):
     seen = Counter()
     raws = [(t or "").encode() for _, t in rows]
