@@ -20,13 +20,14 @@ from basketloom.llm.common import chunks, filtered, utf8
 
 Q = 12
 WINDOW = 100
-STEP = 50
+#: Twice the edits of a window: any quote of ``WINDOW`` bytes is a window but for half a step.
+STEP = 12
 #: Edits allowed in a window, as a share of its bytes.
 EDITS = 0.06
 #: Diagonals by which bands start after each other; a band has twice as many.
 BAND = 8
 #: Bytes of benchmark text an executor holds; larger benchmarks take several passes.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 #: Bytes of text searched at a time, and bands aligned at a time.
 TEXT_BYTES = 1 << 20
 ALIGNED = 2048
@@ -89,8 +90,10 @@ class Searcher:
         every = np.concatenate([np.zeros(0, np.uint64), *codes])
         order = np.argsort(every, kind="stable")
         self.codes = every[order]
-        self.window = np.repeat(np.arange(len(codes)), [len(c) for c in codes])[order]
-        self.place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(c)) for c in codes)])[order]
+        self.window = np.repeat(np.arange(len(codes), dtype=np.int32), [len(c) for c in codes])[order]
+        self.place = np.concatenate(
+            [np.zeros(0, np.int8), *(np.arange(len(c), dtype=np.int8) for c in codes)]
+        )[order]
         bits = min(24, max(18, int(len(every) * 64).bit_length()))
         self.shift = np.uint64(64 - bits)
         self.present = np.zeros(1 << bits, bool)

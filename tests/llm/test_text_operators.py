@@ -339,6 +339,16 @@ def test_benchmark_windows(spark, docs):
     assert Counter(r.doc_id for r in clean.collect()) == Counter(i for i, _ in [rows[2], *EDGES])
 
 
+def test_benchmark_quotes_from_every_offset():
+    rng = random.Random(8)
+    item, other = ("".join(rng.choice("abcdefghij klmnop") for _ in range(n)) for n in (419, 300))
+    item = f"x{item}y"
+    searcher = decontaminate.Searcher([(1, item)])
+    quotes = [item[at : at + n] for n in (100, 101, 120, 136, 140) for at in range(len(item) - n + 1)]
+    texts = [f"{other} {q} {other}".encode() for q in quotes]
+    assert {at for at, _ in decontaminate.searched([*texts, other.encode()], searcher)} == set(range(len(texts)))
+
+
 def test_passages(spark):
     rng = random.Random(4)
     say = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
