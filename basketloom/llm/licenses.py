@@ -1,10 +1,10 @@
-"""License scans: a trained classifier of paragraph windows, confirmed by templates.
+"""License scans: a trained classifier of windows of words, confirmed by templates.
 
-Paragraphs are lines, long ones in overlapping windows of words. A multinomial
+Lines, and paragraphs of several lines, are read in overlapping windows of words. A multinomial
 logistic regression on sparse word n-grams names the licence family of a window;
 its class ``unknown`` is trained on lines of the corpus, and the probability of
-being any licence is calibrated on windows held out. A family is reported only if
-the window also holds most of one of the family's templates.
+being any licence is calibrated on windows held out. All families are reported of which
+such a window also holds most of a template.
 """
 
 from __future__ import annotations
@@ -249,14 +249,64 @@ def fit_licenses(docs: DataFrame) -> LicenseModel:
     return LicenseModel(weights, intercepts, float(line.coefficients[0]), float(line.intercept))
 
 
+_PAIRS = {
+    family: [list(dict.fromkeys(zip(w, w[1:]))) for w in (t.encode().split() for t in texts)]
+    for family, texts in TEMPLATES.items()
+}
+
+
+def confirmed(words: list[bytes]) -> list[tuple[str, float, int, int]]:
+    """(family, similarity, first word, last word) of the families a window holds, best first.
+
+    A family whose template is like that of a better one must also hold most of the
+    pairs that are not in the better one's: a GPL notice is no LGPL notice.
+    """
+    at: dict[tuple[bytes, bytes], int] = {}
+    for i, pair in enumerate(zip(words, words[1:])):
+        at.setdefault(pair, i)
+    found = []
+    for family, templates in _PAIRS.items():
+        for template in templates:
+            held = [p for p in template if p in at]
+            if len(held) >= SIMILARITY * len(template):
+                found.append((len(held) / len(template), len(template), family, template, held))
+    found.sort(key=lambda f: (-f[0], -f[1], f[2]))
+    out: list[tuple[str, float, int, int]] = []
+    better: list[tuple[str, set]] = []
+    for alike, _, family, template, held in found:
+        own = [[p for p in template if p not in known] for f, known in better if f != family]
+        if all(o and sum(p in at for p in o) >= SIMILARITY * len(o) for o in own):
+            if all(f != family for f, _ in better):
+                out.append((family, alike, at[held[0]], at[held[-1]] + 1))
+            better.append((family, set(template)))
+    return out
+
+
 def classify(texts: list[bytes], model: LicenseModel, threshold: float) -> list[tuple]:
-    """(text, paragraph, word, family, probability, similarity) of confirmed windows."""
+    """(text, line, word, family, probability, similarity) of confirmed windows.
+
+    Windows are those of each line, and those of each paragraph of several lines,
+    up to one without words. A notice over several lines counts for its first line;
+    it is left out if one of its lines holds the family by itself.
+    """
     seen: dict[bytes, int] = {}
     ids: list[int] = []
-    starts, owners = [], []  # of halves: first word, and (text, paragraph, half)
+    starts, owners = [], []  # of halves of lines: first word, and (text, line, half)
+    wide_starts, wide_owners = [], []  # of halves of paragraphs
+    lines: list[tuple[int, int]] = []  # first word and number of each line with words
     for number, text in enumerate(texts):
-        for paragraph, line in enumerate(text.split(b"\n")):
+        block: list[int] = []  # first words of the lines of a paragraph
+        for paragraph, line in enumerate([*text.split(b"\n"), b""]):
             words = tokens(line)
+            if words:
+                block.append(len(ids))
+                lines.append((len(ids), paragraph))
+            else:
+                if len(block) > 1:
+                    for half, at in enumerate(range(block[0], len(ids), HALF)):
+                        wide_starts.append(at)
+                        wide_owners.append((number, len(lines), half))
+                block = []
             for half, at in enumerate(range(0, len(words), HALF)):
                 starts.append(len(ids) + at)
                 owners.append((number, paragraph, half))
@@ -266,37 +316,65 @@ def classify(texts: list[bytes], model: LicenseModel, threshold: float) -> list[
     names = list(seen)
     codes = np.array([zlib.crc32(w) for w in names], np.uint32)
     flat = np.array(ids)
-    first = np.array(starts)
-    sizes = np.diff(np.append(first, len(flat)))
-    own = np.array(owners)
-    sums = np.add.reduceat(model.weights[codes & (DIMENSIONS - 1)][flat], first, axis=0)
-    # Word pairs inside a half, and the one that leads to the next half.
-    pairs = np.zeros((len(flat), len(FAMILIES)), np.float32)
     by_word = codes[flat]
-    pairs[1:] = model.weights[_pair(by_word[:-1], by_word[1:])]
-    lead = pairs[first].copy()
-    pairs[first] = 0
-    sums += np.add.reduceat(pairs, first, axis=0)
-    follows = np.zeros(len(first), bool)
-    follows[1:] = (own[1:, :2] == own[:-1, :2]).all(axis=1)
-    # A window begins at each half that has a next one, or is alone in its line.
-    nexts = np.append(follows[1:], False)
-    begin = np.flatnonzero(nexts | ~follows)
-    after = np.minimum(begin + 1, len(first) - 1)
-    both = nexts[begin]
-    total = sums[begin] + np.where(both[:, None], sums[after] + lead[after], 0)
-    count = sizes[begin] + np.where(both, sizes[after], 0)
-    scores = total * (SCALE / np.sqrt(count))[:, None] + model.intercepts
-    probability = model.licence(scores)
+    singles = model.weights[by_word & (DIMENSIONS - 1)]
+    leads = np.zeros((len(flat), len(FAMILIES)), np.float32)
+    leads[1:] = model.weights[_pair(by_word[:-1], by_word[1:])]
+    both_sums = singles + leads
+
+    def likely(first: np.ndarray, ends: np.ndarray, own: np.ndarray) -> Iterator[tuple]:
+        """(owner, first word, words, probability) of the windows that are likely a licence."""
+        sizes = ends - first
+        # Word pairs inside a half, and the one that leads to the next half.
+        bounds = np.column_stack([first, ends]).ravel()
+        sums = np.add.reduceat(
+            np.concatenate([both_sums, np.zeros((1, len(FAMILIES)), np.float32)]), bounds, axis=0
+        )[::2] - leads[first]
+        follows = np.zeros(len(first), bool)
+        follows[1:] = (own[1:, :2] == own[:-1, :2]).all(axis=1)
+        # A window begins at each half that has a next one, or is alone in its line.
+        nexts = np.append(follows[1:], False)
+        begin = np.flatnonzero(nexts | ~follows)
+        after = np.minimum(begin + 1, len(first) - 1)
+        both = nexts[begin]
+        total = sums[begin] + np.where(both[:, None], sums[after] + leads[first[after]], 0)
+        count = sizes[begin] + np.where(both, sizes[after], 0)
+        scores = total * (SCALE / np.sqrt(count))[:, None] + model.intercepts
+        probability = model.licence(scores)
+        for i in np.flatnonzero(probability >= threshold):
+            yield own[begin[i]], int(first[begin[i]]), int(count[i]), float(probability[i])
+
+    def window(start: int, count: int) -> list[bytes]:
+        return [names[w] for w in flat[start : start + count]]
+
     out = []
-    for i in np.flatnonzero(probability >= threshold):
-        number, paragraph, half = own[begin[i]]
-        family = FAMILIES[1 + int(scores[i, 1:].argmax())]
-        window = [names[w] for w in flat[first[begin[i]] :][: count[i]]]
-        alike = max(similarity(window, t.encode().split()) for t in TEMPLATES[family])
-        if alike >= SIMILARITY:
-            out.append((int(number), int(paragraph), int(half) * HALF, family,
-                        float(probability[i]), alike))
+    taken: dict[str, list[tuple[int, int]]] = {}  # words of what is reported, by family
+    first = np.array(starts)
+    for (number, paragraph, half), start, count, p in likely(
+        first, np.append(first[1:], len(flat)), np.array(owners)
+    ):
+        for family, alike, low, high in confirmed(window(start, count)):
+            out.append((int(number), int(paragraph), int(half) * HALF, family, p, alike))
+            taken.setdefault(family, []).append((start + low, start + high))
+    if not wide_starts:
+        return out
+    first, own = np.array(wide_starts), np.array(wide_owners)
+    line_first = np.array([f for f, _ in lines])
+    # A half ends at the next one, the last of a paragraph where its last line does.
+    ends = np.append(line_first, len(flat))[own[:, 1]]
+    same = (own[1:, :2] == own[:-1, :2]).all(axis=1)
+    ends[:-1] = np.where(same, first[1:], ends[:-1])
+    wide = []
+    for (number, _, _), start, count, p in likely(first, ends, own):
+        for family, alike, low, high in confirmed(window(start, count)):
+            wide.append((alike, p, -start - low, start + high, int(number), family))
+    for alike, p, low, high, number, family in sorted(wide, reverse=True):
+        spans = taken.setdefault(family, [])
+        if any(a <= high and -low <= b for a, b in spans):
+            continue
+        spans.append((-low, high))
+        at = int(np.searchsorted(line_first, -low, "right")) - 1
+        out.append((number, lines[at][1], -low - lines[at][0], family, p, alike))
     return out
 
 
@@ -304,8 +382,8 @@ def license_scan(docs: DataFrame, model: LicenseModel, threshold: float = THRESH
     """Licences named in documents: ``DF[doc_id, paragraph, word, family, probability, similarity]``.
 
     One row per family and line, the best of the line's windows: the number of the
-    line, the first word of the window, the calibrated probability and the share
-    of a template found. Narrow: no shuffle. Null and empty texts have no rows, a
+    line, the first word of the window, or of the notice if it goes over several
+    lines, the calibrated probability and the share of a template found. Narrow: no shuffle. Null and empty texts have no rows, a
     null id stays null, repeated rows are reported each. Other columns are not read.
     """
 

@@ -379,6 +379,30 @@ def test_licences(corpus):
     assert {r.doc_id for r in fitted.collect()} == marked
 
 
+def test_licences_over_several_lines(corpus):
+    mit = """/*
+     * Permission is hereby granted, free of charge, to any person obtaining a copy
+     * of this software and associated documentation files (the "Software"), to deal
+     * in the Software without restriction, including without limitation the rights
+     */"""
+    bsd = """# Some name
+#
+# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions
+# are met:"""
+    gpl = """// This program is free software: you can redistribute it and/or modify
+// it under the terms of the GNU General Public License as published by
+// the Free Software Foundation, either version 3 of the License, or
+// (at your option) any later version."""
+    both = "Under the MIT license or the Apache license: licensed under the MIT license and under the Apache License, Version 2.0"
+    one = "This work is licensed under the GNU General Public License version 3."
+    prose = "\n".join(f"plain{i} words{i} on a line" for i in range(20))
+    df = frame(corpus.sparkSession, [(1, mit), (2, bsd), (3, gpl), (4, both), (5, one), (6, f"{prose}\n\n{gpl}\n\n{prose}")])
+    found = licenses.license_scan(df, licenses.fit_licenses(corpus)).collect()
+    assert sorted((r.doc_id, r.paragraph, r.family) for r in found) == [
+        (1, 1, "MIT"), (2, 2, "BSD"), (3, 1, "GPL-3.0"), (4, 0, "Apache-2.0"), (4, 0, "MIT"), (5, 0, "GPL-3.0"), (6, 22, "GPL-3.0")]
+
+
 def test_pipeline_stages(spark, corpus):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
