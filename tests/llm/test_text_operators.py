@@ -366,28 +366,6 @@ def test_passages(spark):
     assert chaining.edit_distance([b"a", b"b", b"c"], [b"a", b"x", b"c", b"d"]) == 2
 
 
-def test_passages_whose_parts_are_in_earlier_documents(spark):
-    rng = random.Random(9)
-    say = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
-    shared = say(90)
-    rows = [(1, say(30) + shared[:45] + say(30)), (2, say(20) + shared[45:] + say(9)), (3, say(40) + shared + say(5)),
-            (4, say(7) + shared + say(70)), (2**40, say(3) + shared + say(1))]
-    found = substring_dedup.repeated_passages(frame(spark, [(i, " ".join(t)) for i, t in rows])).collect()
-    assert {(r.doc_id, r.source_id, r.start_word, r.end_word) for r in found} == {(4, 3, 7, 97), (2**40, 4, 3, 93)}
-
-
-def test_passages_with_many_changes(spark):
-    rng = random.Random(10)
-    say = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
-    rows = []
-    for i in range(40):
-        shared = say(62)
-        near = [w if k % 6 != 3 else "other" for k, w in enumerate(shared)]
-        rows += [(i, " ".join(say(20) + shared + say(20))), (100 + i, " ".join(say(50) + near + say(3)))]
-    found = substring_dedup.repeated_passages(frame(spark, rows)).collect()
-    assert {(r.doc_id, r.source_id) for r in found} == {(100 + i, i) for i in range(40)}
-
-
 def test_licences(corpus):
     lines = ["All rights reserved.", "Released under the MIT License.", "Some ordinary words here, nothing more."]
     lines.append("Before it " + " ".join(f"plain{i}" for i in range(60)) + " licensed under the Apache License, Version 2.0. after")
