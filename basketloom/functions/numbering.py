@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketloom.sources.durable import durable
+
 
 def number_rows(
     df: DataFrame,
@@ -56,3 +58,41 @@ def dense_ids(df: DataFrame, column: str, buckets: int = 4096) -> DataFrame:
     slot = F.pmod(F.col(column), F.lit(buckets))
     numbered = number_rows(ids, [], [column], [slot], "_number")
     return numbered.select(column, (F.col("_number") - 1).cast("int").alias("dense_id"))
+
+
+def number_sorted(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str], number: str
+) -> DataFrame:
+    """Like :func:`number_rows`, without buckets to choose: rows are dealt out by ranges.
+
+    The ranges are of the keys and the order together, so a group of any size is cut
+    wherever a range ends, as long as ``order_by`` tells its rows apart. The sorted rows
+    are written once; a group then has one row of counts for each range it is in, which
+    give the numbers before. Keys may be null.
+    """
+    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    by = [*(F.col(c) for c in keys), *order]
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    cut = durable(
+        df.repartitionByRange(*by).sortWithinPartitions(*by).withColumns(
+            {"_range": F.spark_partition_id(), "_place": place}
+        ),
+        "sorted",
+    )
+    names = {c: f"_of_{c}" for c in keys}
+    sizes = cut.groupBy(*keys, "_range").agg(
+        F.count("*").alias("_rows"), F.min("_place").alias("_first")
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    shifts = sizes.select(
+        *(F.col(c).alias(n) for c, n in names.items()),
+        F.col("_range").alias("_of_range"),
+        (before - F.col("_first") + 1).alias("_shift"),
+    )
+    same = F.col("_range") == F.col("_of_range")
+    for c, n in names.items():
+        same = same & F.col(c).eqNullSafe(F.col(n))
+    return cut.join(shifts, same).select(
+        *df.columns, (F.col("_shift") + F.col("_place")).alias(number)
+    )

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketloom.functions.numbering import dense_ids
-from basketloom.operators.rankeval import ranking_metrics
-from basketloom.operators.recommend import novel_recommendations
+from basketloom.operators.rankeval import array_metrics, ranking_metrics
+from basketloom.operators.topk import search_best
 from basketloom.sources.durable import durable
 
 # The model's settings and the settings tried in tuning.
@@ -89,12 +89,12 @@ def recommend(model: ALSModel, k: int = 10, users: DataFrame | None = None) -> D
     """Best ``k`` products, bought before or not: ``DF[user_id, product_id, rank, score]``.
 
     For every user of the model, or for the given ones; a user the model does
-    not know has no rows.
+    not know has no rows. All users are searched with bounds (``search_best``), a few
+    are scored with all products.
     """
     if users is None:
-        lists = model.recommendForAllUsers(k)
-    else:
-        lists = model.recommendForUserSubset(users.select("user_id").distinct(), k)
+        return search_best(model.userFactors, model.itemFactors, model.rank, k).rows
+    lists = model.recommendForUserSubset(users.select("user_id").distinct(), k)
     rows = lists.select("user_id", F.posexplode("recommendations").alias("at", "item"))
     return rows.select(
         F.col("user_id").cast("bigint").alias("user_id"),
@@ -121,21 +121,14 @@ def recommend_known(
 def novel(model: ALSModel, interactions: DataFrame, k: int = 10) -> DataFrame:
     """The best ``k`` products each user of ``interactions`` has not bought.
 
-    Of a user who bought b products the best k + b hold them. Users are taken
-    together by the next power of two of that, so each asks for less than twice as
-    many as needed and there are as many calls as powers.
+    What a user bought is left out while products are searched (``search_best``), so
+    a list is filled however much that is.
     """
     bought = interactions.select("user_id", "product_id").distinct()
-    many = bought.groupBy("user_id").agg(F.count("*").alias("b"))
-    power = F.ceil(F.log2(F.col("b") + F.lit(k))).cast("int")
-    asked = durable(many.select("user_id", power.alias("power")), "asked")
-    rows = None
-    for (p,) in asked.select("power").distinct().orderBy("power").collect():
-        some = recommend(model, 1 << p, asked.where(F.col("power") == p))
-        rows = some if rows is None else rows.union(some)
-    if rows is None:
-        rows = recommend(model, k, asked)
-    return novel_recommendations(rows, bought, k)
+    asking = model.userFactors.join(
+        bought.select(F.col("user_id").alias("id")), "id", "left_semi"
+    )
+    return search_best(asking, model.itemFactors, model.rank, k, without=bought).rows
 
 
 def recommended_lists(model: ALSModel, k: int = 10, users: DataFrame | None = None) -> DataFrame:
@@ -154,12 +147,16 @@ def tune_als(
     grid: Sequence[tuple[int, float]] = tuple(GRID),
     k: int = 10,
     parallelism: int = 3,
+    recounted: bool = False,
 ) -> DataFrame:
     """Metrics of each (rank, reg), best NDCG first and the earlier setting on ties.
 
     ``DF[position, rank, reg, n_users, precision, recall, ndcg]``. Every setting
     reads the inputs again: make them durable first. ``parallelism`` settings are
     fitted at a time; one row per setting comes back to the driver.
+
+    With ``recounted`` each setting's lists are kept and judged a second way (see
+    ``array_metrics``); the column ``gap`` is the largest difference of any metric.
     """
     spark = interactions.sparkSession
     users = truth.select("user_id").distinct()
@@ -167,13 +164,22 @@ def tune_als(
     def judge(setting: tuple[int, float]) -> tuple:
         rank, reg = setting
         model = fit_als(interactions, rank=rank, reg=reg)
-        return tuple(ranking_metrics(recommended_lists(model, k, users), truth, k).first())
+        lists = recommended_lists(model, k, users)
+        if not recounted:
+            return tuple(ranking_metrics(lists, truth, k).first())
+        lists = durable(lists, "lists")
+        row = ranking_metrics(lists, truth, k).first()
+        again = array_metrics(lists, truth, k).first()
+        return *row, max(
+            0.0 if a is b is None else 1.0 if a is None or b is None else abs(float(a - b))
+            for a, b in zip(row, again)
+        )
 
     with ThreadPool(parallelism) as pool:
         metrics = pool.map(inheritable_thread_target(spark)(judge), grid, chunksize=1)
     rows = spark.createDataFrame(
         [(i, *setting, *row) for i, (setting, row) in enumerate(zip(grid, metrics))],
         "position int, rank int, reg double, n_users bigint,"
-        " precision double, recall double, ndcg double",
+        " precision double, recall double, ndcg double" + ", gap double" * recounted,
     )
     return rows.orderBy(F.desc("ndcg"), F.asc("position"))

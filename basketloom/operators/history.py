@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketloom.functions.numbering import number_sorted
 from basketloom.operators.names import with_product_names
 from basketloom.sources.tables import Tables
 
@@ -74,8 +75,8 @@ def interactions(
 def purchase_history(tables: Tables, users: DataFrame | None = None) -> DataFrame:
     """Named purchase counts per user: ``DF[user_id, product_id, product_name, purchases]``.
 
-    Unsorted, since sorting all users' products costs another shuffle; order a
-    few users' rows by ``purchases`` to show them.
+    Unsorted, since sorting all users' products costs another shuffle;
+    :func:`ranked_history` does so.
     """
     bought = interactions(tables.orders, tables.prior, users=users)
     return with_product_names(bought, tables.products).select(
@@ -83,6 +84,16 @@ def purchase_history(tables: Tables, users: DataFrame | None = None) -> DataFram
     )
 
 
+def ranked_history(tables: Tables, users: DataFrame | None = None) -> DataFrame:
+    """:func:`purchase_history` in each user's order of purchases.
+
+    ``DF[user_id, product_id, product_name, purchases, rank]``: ranks from 1, most bought
+    first, ties by product id, over all products of a user, however many there are.
+    """
+    named = purchase_history(tables, users)
+    return number_sorted(named, ["user_id"], [F.desc("purchases"), "product_id"], "rank")
+
+
 def next_order_lines(
     orders: DataFrame,
     train: DataFrame,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketloom.functions.numbering import number_rows
+from basketloom.functions.numbering import number_sorted
 from basketloom.operators.recommend import novel_recommendations
 from basketloom.operators.stats import by_count, product_counts, top_products
 from basketloom.sources.durable import durable
@@ -30,10 +30,11 @@ def popular_list(counts: DataFrame, k: int = 10) -> DataFrame:
 def popular_ranks(counts: DataFrame) -> DataFrame:
     """All products from the most bought on: ``DF[product_id, pop_rank]``.
 
-    Products of one count are numbered together, so no task sorts all of them.
+    Sorted in ranges of count and id, so no task sorts all products nor all of one
+    count, of which the small ones have very many.
     """
     known = counts.where(F.col("n").isNotNull() & F.col("product_id").isNotNull())
-    ranked = number_rows(known, [], ["product_id"], [-F.col("n")], "pop_rank")
+    ranked = number_sorted(known, [], [F.desc("n"), "product_id"], "pop_rank")
     return ranked.select("product_id", "pop_rank")
 
 

@@ -5,10 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketloom.functions.ranking import ideal_gain, rank_gain
+from basketloom.functions.ranking import (
+    ideal_gain,
+    ndcg_at_k,
+    precision_at_k,
+    rank_gain,
+    recall_at_k,
+)
 
 
 def user_metrics(
@@ -78,6 +84,49 @@ def ranking_metrics(
     )
 
 
+def array_metrics(
+    predicted: DataFrame, truth: DataFrame, k: int = 10, users: str = "common"
+) -> DataFrame:
+    """:func:`ranking_metrics` another way: each list against the array of the user's truth.
+
+    Nothing is shared with the counting of rows, so equal results say something of
+    both. A user's next order has to fit into one row here.
+    """
+    if users not in ("common", "truth"):
+        raise ValueError("users must be 'common' or 'truth'")
+    actual = truth.groupBy("user_id").agg(F.collect_set("product_id").alias("actual"))
+    how = "inner" if users == "common" else "left"
+    both = actual.join(predicted.select("user_id", "predicted"), "user_id", how).withColumn(
+        "predicted", F.coalesce("predicted", F.array().cast("array<bigint>"))
+    )
+    pair = F.col("predicted"), F.col("actual")
+    return both.agg(
+        F.count("*").alias("n_users"),
+        F.avg(precision_at_k(*pair, k)).alias("precision"),
+        F.avg(recall_at_k(*pair, k)).alias("recall"),
+        F.avg(ndcg_at_k(*pair, k)).alias("ndcg"),
+    )
+
+
+def metric_gap(one: DataFrame, other: DataFrame) -> DataFrame:
+    """``DF[n_users, gap]`` of two rows of metrics: the largest difference of any, users too.
+
+    A null in only one of them is a difference of 1, as a rate that is not there.
+    """
+    names = ["n_users", "precision", "recall", "ndcg"]
+    both = one.select(F.struct(*names).alias("a")).withColumn(
+        "b", other.select(F.struct(*names)).scalar()
+    )
+
+    def difference(name: str) -> Column:
+        a, b = F.col(f"a.{name}"), F.col(f"b.{name}")
+        return F.when(a.isNull() & b.isNull(), 0.0).otherwise(F.coalesce(F.abs(a - b), F.lit(1.0)))
+
+    return both.select(
+        F.col("a.n_users").alias("n_users"), F.greatest(*map(difference, names)).alias("gap")
+    )
+
+
 def compare_models(metrics: Mapping[str, DataFrame]) -> DataFrame:
     """One row per model: ``DF[model, n_users, precision, recall, ndcg]``."""
     rows = [df.select(F.lit(name).alias("model"), "*") for name, df in metrics.items()]

@@ -134,16 +134,19 @@ def fit_reorder(
     depth: int = DEPTH,
     seed: int = SEED,
     partitions: int = PARTITIONS,
+    sampled: bool = True,
 ) -> RandomForestClassificationModel:
     """Random forest on a :func:`reorder_dataset` that was made durable.
 
     Trees sample rows by partition and place. So rows are dealt to a given number
     of ``partitions`` and sorted: the same rows give the same forest on any cluster.
+    Without ``sampled`` every tree sees every row once and differs by its features only.
     """
     pair = ["user_id", "product_id"]
     dataset = dataset.repartition(partitions, *pair).sortWithinPartitions(*pair)
     forest = RandomForestClassifier(
-        featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed
+        featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed,
+        bootstrap=sampled,
     )
     return forest.fit(assemble(dataset))
 

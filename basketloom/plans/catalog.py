@@ -16,10 +16,12 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketloom.operators import als, classeval, history, popularity, profile, rankeval
+from basketloom.operators import als, alscheck, classeval, forest, history, popularity, profile
+from basketloom.operators import rankeval
 from basketloom.operators import recommend as lists
 from basketloom.operators import reorder, stats
 from basketloom.operators.names import with_product_names
+from basketloom.operators.recommender import Recommender
 from basketloom.plans import facts
 from basketloom.plans.experiments import tune_on_last_order
 from basketloom.plans.pipeline import popularity_sink, run_pipeline, write_dashboard
@@ -105,6 +107,8 @@ _on_sales("join_restrict_users")(
 )
 _on_sales("purchase_history")(history.purchase_history)
 _on_events("purchase_history_events")(history.purchase_history)
+_on_sales("ranked_history")(history.ranked_history)
+_on_events("ranked_history_events")(history.ranked_history)
 _on_sales("next_order")(history.next_order)
 _on_sales("actual_sets")(lambda t: history.actual_sets(t.orders, t.train))
 _on_sales("last_order_per_user")(
@@ -290,11 +294,11 @@ def _rate_reorder_list(t: Tables) -> DataFrame:
 # Sources and sinks: written by Spark to the shared folder and read back
 
 
-def _scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _scan(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
     """Rows, sum of all numbers and length of all texts of each table read back."""
-    path = fresh_path(spark, "csv")
-    write_tables(event_tables(spark, sf_dir), path, "csv")
-    loaded = load_tables(spark, path, "csv")
+    path = fresh_path(spark, fmt)
+    write_tables(event_tables(spark, sf_dir), path, fmt)
+    loaded = load_tables(spark, path, fmt)
     sums = []
     for field in fields(loaded):
         df = getattr(loaded, field.name)
@@ -312,12 +316,6 @@ def _scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.union, sums)
 
 
-def _scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_path(spark, "parquet")
-    write_tables(event_tables(spark, sf_dir), path, "parquet")
-    return stats.table_counts(load_tables(spark, path, "parquet"))
-
-
 def _popularity_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "popularity")
     popularity_sink(sales_tables(spark, sf_dir), path)
@@ -354,8 +352,9 @@ def _dashboard_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES["scan_csv"] = _scan_csv
-QUERIES["scan_parquet"] = _scan_parquet
+QUERIES["scan_csv"] = lambda spark, sf_dir: _scan(spark, sf_dir, "csv")
+QUERIES["scan_parquet"] = lambda spark, sf_dir: _scan(spark, sf_dir, "parquet")
+QUERIES["scan_orc"] = lambda spark, sf_dir: _scan(spark, sf_dir, "orc")
 QUERIES["popularity_sink"] = _popularity_sink
 QUERIES["dashboard_sink"] = _dashboard_sink
 
@@ -489,14 +488,178 @@ def _reorder_facts(spark: SparkSession, sf_dir: str, users: DataFrame | None) ->
     return facts.reorder_facts(found, scored, t.products, reorder.THRESHOLD)
 
 
+def _run_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The results of a whole run, from CSV."""
+
+    def make() -> str:
+        source, target = fresh_path(spark, "source"), fresh_path(spark, "run")
+        write_tables(event_tables(spark, sf_dir), source, "csv")
+        run_pipeline(spark, source, target)
+        return target
+
+    return _once(spark, sf_dir, "run", make)
+
+
 def _full_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run from CSV to result tables; of these the profiles."""
-    source, target = fresh_path(spark, "source"), fresh_path(spark, "run")
-    write_tables(event_tables(spark, sf_dir), source, "csv")
-    run_pipeline(spark, source, target)
-    return spark.read.parquet(f"{target}/customer_profile")
+    return spark.read.parquet(f"{_run_folder(spark, sf_dir)}/customer_profile")
+
+
+def _pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for every table the whole run writes: rows, a sum, and rows that cannot be right.
+
+    The sum is of numbers that no fit changes. Where the number of rows depends on the
+    fit it is left out, and what is wrong with any row is counted.
+    """
+    path = _run_folder(spark, sf_dir)
+
+    def table(name: str, numbers: str, wrong: str = "false", fmt: str = "parquet",
+              schema: str | None = None, counted: bool = True) -> DataFrame:
+        reader = spark.read.schema(schema) if schema else spark.read
+        options = {"header": True} if fmt == "csv" else {}
+        rows = reader.options(**options).format(fmt).load(f"{path}/{name}")
+        return rows.selectExpr(
+            f"'{name}' AS part", "count(*) AS n_rows" if counted else "CAST(NULL AS bigint) AS n_rows",
+            f"CAST(sum({numbers}) AS bigint) AS numbers",
+            f"count_if(coalesce({wrong}, true)) AS n_wrong",
+        )
+
+    unlike = "NOT (precision BETWEEN 0 AND 1 AND recall BETWEEN 0 AND 1 AND {} BETWEEN 0 AND 1)"
+    return reduce(
+        DataFrame.union,
+        [
+            table("dashboard/stats", "orders + users + products + interactions", fmt="json"),
+            table("dashboard/top_products", "n", "product_name IS NULL", "json"),
+            table("dashboard/orders_by_hour", "n_orders", fmt="json"),
+            table("dashboard/orders_by_dow", "n_orders", fmt="json"),
+            table("popularity", "n", "product_name IS NULL", "csv",
+                  "product_id bigint, product_name string, n bigint"),
+            table("customer_profile", "purchases"),
+            table("recommendations", "rank", "rank NOT BETWEEN 1 AND 10 OR product_name IS NULL"),
+            table("model_comparison", "n_users", unlike.format("ndcg")),
+            table("threshold_sweep", "tp + fn", unlike.format("f1")),
+            table("reorder_quality", "tp + fn", unlike.format("f1")),
+            table("reorder_predictions", "0", counted=False,
+                  wrong="rank NOT BETWEEN 1 AND 10 OR probability < 0.2 OR product_name IS NULL"),
+            table("models/user_ids", "user_id", "dense_id < 0"),
+            table("models/product_ids", "product_id", "dense_id < 0"),
+            table("runs", "k", "completed_at > current_timestamp()"),
+        ],
+    ).fillna(0, ["numbers"])
+
+
+def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _once(
+        spark, sf_dir, "grid",
+        lambda: durable(tune_on_last_order(event_tables(spark, sf_dir), recounted=True), "grid"),
+    )
+
+
+def _recommender(spark: SparkSession, sf_dir: str) -> Recommender:
+    """A model with its ids, saved and loaded."""
+
+    def make() -> Recommender:
+        path = fresh_path(spark, "recommender")
+        Recommender.fit(_bought(spark, sf_dir)).save(path)
+        return Recommender.load(spark, path)
+
+    return _once(spark, sf_dir, "recommender", make)
+
+
+def _large_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of a model fitted on ids beyond 32 bits, saved, loaded and asked by such ids."""
+    wide = durable(
+        _bought(spark, sf_dir).withColumns(
+            {c: F.col(c) + F.lit(1 << 33) for c in ("user_id", "product_id")}
+        ),
+        "wide",
+    )
+    path = fresh_path(spark, "recommender")
+    Recommender.fit(wide, rank=5, iterations=2).save(path)
+    users = wide.select("user_id").distinct()
+    rows = Recommender.load(spark, path).recommend(10, users)
+    return facts.list_facts(rows, wide)
+
 
+def _metrics_recounted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of lists counted row by row against the same lists judged as arrays."""
+    truth = _truth(spark, sf_dir)
+    lists_of = {
+        "popularity": durable(_popular(event_tables(spark, sf_dir)), "lists"),
+        "als": durable(_als_lists(spark, sf_dir), "lists"),
+    }
+    rows = [
+        rankeval.metric_gap(
+            rankeval.ranking_metrics(predicted, truth, users=users),
+            rankeval.array_metrics(predicted, truth, users=users),
+        ).select(
+            F.lit(model).alias("model"), F.lit(users).alias("users"), "n_users",
+            (F.col("gap") < 1e-9).alias("same"),
+        )
+        for model, predicted in lists_of.items()
+        for users in ("common", "truth")
+    ]
+    return reduce(DataFrame.union, rows)
+
+
+def _walked(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
+    """Scores of the model beside those of its nodes."""
+    nodes = _once(spark, sf_dir, "nodes", lambda: forest.forest_table(_forest(spark, sf_dir)))
+    return forest.walk(nodes, _scored(spark, sf_dir, split))
+
+
+def _rf_fit_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _dataset(spark, sf_dir).where(F.col("split") == "train")
+    model = reorder.fit_reorder(rows, trees=10, sampled=False)
+    return forest.fit_check(forest.forest_table(model), rows).drop("n_nodes")
+
+
+def _rf_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evaluations' cells against counts of the scores that the nodes give."""
+    scored, walked = _scored(spark, sf_dir, "test"), durable(_walked(spark, sf_dir, "test"), "walked")
+    return reduce(
+        DataFrame.union,
+        [
+            facts.cells_gap(
+                classeval.classification_metrics(scored, threshold),
+                walked.select("label", (test).alias("positive")), name,
+            )
+            for name, threshold, test in (
+                ("rf_default_eval", None, F.col("walked") > 0.5),
+                ("rf_holdout", reorder.THRESHOLD, F.col("walked") >= reorder.THRESHOLD),
+            )
+        ],
+    )
+
+
+def _als_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _als(spark, sf_dir)
+    return alscheck.user_optimality(
+        model.userFactors, model.itemFactors, _bought(spark, sf_dir), model.rank
+    ).drop("gap")
 
+
+def _als_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bounded search against the model's own scoring of all pairs."""
+    model = _als(spark, sf_dir)
+    every = model.userFactors.select(F.col("id").alias("user_id"))
+    return facts.list_gaps(als.recommend(model), als.recommend(model, 10, every))
+
+
+QUERIES["als_optimality"] = _als_optimality
+QUERIES["als_search"] = _als_search
+QUERIES["als_grid_recounted"] = lambda spark, sf_dir: _grid(spark, sf_dir).select(
+    "position", "n_users", (F.col("gap") < 1e-9).alias("same")
+)
+QUERIES["metrics_recounted"] = _metrics_recounted
+QUERIES["recommender_large_ids"] = _large_ids
+QUERIES["rf_walked"] = lambda spark, sf_dir: _walked(spark, sf_dir, "test").select(
+    "user_id", "product_id",
+    (F.abs(F.col("probability") - F.col("walked")) <= forest.TOLERANCE).alias("equal"),
+)
+QUERIES["rf_fit_check"] = _rf_fit_check
+QUERIES["rf_cells_recounted"] = _rf_cells
+QUERIES["pipeline_tables"] = _pipeline_tables
 QUERIES["als_fit"] = lambda spark, sf_dir: facts.factor_facts(_als(spark, sf_dir))
 QUERIES["als_recommend_all"] = lambda spark, sf_dir: facts.list_facts(
     als.recommend(_als(spark, sf_dir)), _bought(spark, sf_dir)
@@ -521,9 +684,9 @@ QUERIES["als_novel_counts"] = lambda spark, sf_dir: (
 QUERIES["als_metrics"] = lambda spark, sf_dir: rankeval.ranking_metrics(
     _als_lists(spark, sf_dir), _truth(spark, sf_dir)
 ).select("n_users", facts.in_bounds(*RANKING))
-QUERIES["als_grid"] = lambda spark, sf_dir: tune_on_last_order(
-    event_tables(spark, sf_dir)
-).select("position", "rank", "reg", "n_users", facts.in_bounds(*RANKING))
+QUERIES["als_grid"] = lambda spark, sf_dir: _grid(spark, sf_dir).select(
+    "position", "rank", "reg", "n_users", facts.in_bounds(*RANKING)
+)
 QUERIES["model_comparison"] = _model_comparison
 QUERIES["rf_scores"] = _rf_scores
 QUERIES["rf_default_eval"] = lambda spark, sf_dir: _cell_facts(
@@ -538,7 +701,7 @@ QUERIES["rf_holdout"] = lambda spark, sf_dir: _cell_facts(
 QUERIES["reorder_predictions"] = lambda spark, sf_dir: _reorder_facts(spark, sf_dir, None)
 QUERIES["user_recommendations"] = lambda spark, sf_dir: facts.list_facts(
     user_recommendations(
-        event_tables(spark, sf_dir), _als(spark, sf_dir), _labelled(spark, sf_dir)
+        event_tables(spark, sf_dir), _recommender(spark, sf_dir), _labelled(spark, sf_dir)
     ),
     _bought(spark, sf_dir),
     _products(spark, sf_dir),

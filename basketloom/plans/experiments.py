@@ -18,11 +18,12 @@ def tune_on_last_order(
     grid: Sequence[tuple[int, float]] = tuple(GRID),
     k: int = 10,
     max_user_id: int | None = None,
+    recounted: bool = False,
 ) -> DataFrame:
     """Metrics of ALS settings, fitted without each user's last prior order and judged on it.
 
     Only users with a next order take part. The lines are joined to their orders
-    once and counted per split.
+    once and counted per split. ``recounted`` as for ``tune_als``.
     """
     labelled = orders_in(tables.orders, "train", max_user_id)
     orders = leave_last_order_out(
@@ -41,4 +42,5 @@ def tune_on_last_order(
         pairs.where(F.col("held") > 0).select("user_id", "product_id"),
         grid,
         k,
+        recounted=recounted,
     )

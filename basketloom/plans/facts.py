@@ -65,6 +65,62 @@ def list_facts(rows: DataFrame, interactions: DataFrame, products: DataFrame | N
     return marked.groupBy("user_id").agg(*counts)
 
 
+def list_gaps(rows: DataFrame, other: DataFrame, tolerance: float = 1e-4) -> DataFrame:
+    """Two results of the same question: ``DF[user_id, n, n_other, n_different]``.
+
+    Ranks at which the scores differ by more than ``tolerance``, and products that only
+    one list has although their score is not that of the list's end, where equal scores
+    may be cut either way.
+    """
+    names = ["user_id", "product_id", "rank", "score"]
+    a, b = rows.select(names), other.select(names)
+    last = Window.partitionBy("user_id")
+    marked = [
+        df.withColumn("open", F.col("score") <= F.min("score").over(last) + tolerance)
+        for df in (a, b)
+    ]
+    ranks = a.select("user_id", "rank", F.col("score").alias("mine")).join(
+        b.select("user_id", "rank", F.col("score").alias("theirs")), ["user_id", "rank"], "full"
+    )
+    off = ~F.coalesce(F.abs(F.col("mine") - F.col("theirs")) <= tolerance, F.lit(False))
+    of_ranks = ranks.groupBy("user_id").agg(
+        F.count("mine").alias("n"), F.count("theirs").alias("n_other"), F.count_if(off).alias("off")
+    )
+    alone = [
+        x.where("NOT open").join(y, ["user_id", "product_id"], "left_anti").select("user_id")
+        for x, y in (marked, marked[::-1])
+    ]
+    lone = alone[0].union(alone[1]).groupBy("user_id").agg(F.count("*").alias("lone"))
+    return of_ranks.join(lone, "user_id", "left").select(
+        "user_id", "n", "n_other",
+        (F.col("off") + F.coalesce("lone", F.lit(0))).alias("n_different"),
+    )
+
+
+def cells_gap(metrics: DataFrame, predicted: DataFrame, name: str) -> DataFrame:
+    """``DF[name, n_rows, gap]``: the cells of a row of metrics against a recount.
+
+    ``predicted`` is ``DF[label, positive]``, from other scores than the metrics.
+    """
+    counts = predicted.groupBy("label", "positive").agg(F.count("*").alias("n"))
+    own = counts.agg(
+        *(
+            F.coalesce(F.sum(F.when((F.col("label") == label) & test, F.col("n"))), F.lit(0)).alias(c)
+            for c, label, test in (
+                ("tp", 1, F.col("positive")), ("fp", 0, F.col("positive")),
+                ("fn", 1, ~F.col("positive")), ("tn", 0, ~F.col("positive")),
+            )
+        )
+    )
+    cells = ["tp", "fp", "fn", "tn"]
+    both = metrics.select(*cells).withColumn("own", own.select(F.struct(*cells)).scalar())
+    gap = sum((F.abs(F.col(c) - F.col(f"own.{c}")) for c in cells), F.lit(0))
+    rows = sum((F.col(c) for c in cells), F.lit(0))
+    return both.select(
+        F.lit(name).alias("name"), rows.cast("bigint").alias("n_rows"), gap.cast("bigint").alias("gap")
+    )
+
+
 def novel_facts(rows: DataFrame, interactions: DataFrame) -> DataFrame:
     """:func:`list_facts` and the rows a user has bought before, ``n_bought``."""
     bought = rows.join(interactions.select("user_id", "product_id"), ["user_id", "product_id"], "left_semi")

@@ -279,6 +279,47 @@ _IS_LABELLED = "user_id IN (SELECT user_id FROM labelled)"
 
 _NAMED = f", {_NONE} AS n_misnamed"
 
+_TUNED_USERS = """
+, ends AS (SELECT user_id, max(order_number) AS last_number FROM prior_orders
+           WHERE user_id IN (SELECT user_id FROM labelled) GROUP BY 1),
+tuned AS (
+  SELECT h.user_id FROM history h JOIN ends e ON h.user_id = e.user_id GROUP BY 1
+  HAVING bool_or(h.order_number = e.last_number) AND bool_or(h.order_number < e.last_number))
+"""
+
+_RANKED = """
+SELECT i.user_id, i.product_id, p.product_name, i.purchases,
+       row_number() OVER (PARTITION BY i.user_id ORDER BY i.purchases DESC, i.product_id) AS "rank"
+FROM interactions i JOIN products p ON i.product_id = p.product_id
+"""
+
+# Every table of a run: rows, a sum that no fit changes, rows that cannot be right.
+_PIPELINE_TABLES = f"""
+, bought AS (SELECT product_id, count(*) AS n FROM t_prior GROUP BY 1),
+top AS (SELECT b.n, row_number() OVER (ORDER BY b.n DESC, b.product_id) AS rn
+        FROM bought b JOIN products p ON b.product_id = p.product_id),
+size AS (SELECT count(DISTINCT user_id) AS u, count(DISTINCT product_id) AS p FROM interactions),
+made AS (
+SELECT 'dashboard/stats' AS part, 1 AS n_rows,
+       (SELECT count(*) FROM t_orders) + (SELECT count(DISTINCT user_id) FROM t_orders)
+       + (SELECT count(*) FROM products) + (SELECT count(*) FROM t_prior) AS numbers
+UNION ALL SELECT 'dashboard/top_products', count(*), sum(n) FROM top WHERE rn <= 10
+UNION ALL SELECT 'dashboard/orders_by_hour', 24, count(order_hour_of_day) FROM t_orders
+UNION ALL SELECT 'dashboard/orders_by_dow', 7, count(order_dow) FROM t_orders
+UNION ALL SELECT 'popularity', count(*), sum(n) FROM top WHERE rn <= 100
+UNION ALL SELECT 'customer_profile', (SELECT count(DISTINCT user_id) FROM prior_orders),
+                 (SELECT count(*) FROM history)
+UNION ALL SELECT 'recommendations', u * least(10, p), u * least(10, p) * (least(10, p) + 1) // 2 FROM size
+UNION ALL SELECT 'model_comparison', 2, 2 * count(DISTINCT user_id) FROM truth
+UNION ALL SELECT 'threshold_sweep', 13, 13 * count(*) FROM parted WHERE split = 'validation' AND label = 1
+UNION ALL SELECT 'reorder_quality', 1, count(*) FROM parted WHERE split = 'test' AND label = 1
+UNION ALL SELECT 'reorder_predictions', NULL, 0
+UNION ALL SELECT 'models/user_ids', count(DISTINCT user_id), sum(DISTINCT user_id) FROM interactions
+UNION ALL SELECT 'models/product_ids', count(DISTINCT product_id), sum(DISTINCT product_id) FROM interactions
+UNION ALL SELECT 'runs', 1, 10)
+SELECT part, CAST(n_rows AS BIGINT) AS n_rows, CAST(numbers AS BIGINT) AS numbers, {_NONE} AS n_wrong FROM made
+"""
+
 
 def _judged_pairs(where: str = "true") -> str:
     return f"""
@@ -323,7 +364,8 @@ UNION ALL SELECT 'orders_by_dow', order_dow, '', CAST(n_orders AS DOUBLE) FROM d
 
 ORACLES: dict[str, str] = {
     "table_counts": SALES + _COUNTS,
-    "scan_parquet": EVENTS + _COUNTS,
+    "scan_parquet": EVENTS + _TABLE_SUMS,
+    "scan_orc": EVENTS + _TABLE_SUMS,
     "dashboard_stats": SALES + _STATS,
     "dashboard_stats_events": EVENTS + _STATS,
     "scan_csv": EVENTS + _TABLE_SUMS,
@@ -355,6 +397,8 @@ FROM history""",
     + " WHERE user_id IN (SELECT user_id FROM labelled)",
     "purchase_history": SALES + _PURCHASES,
     "purchase_history_events": EVENTS + _PURCHASES,
+    "ranked_history": SALES + _RANKED,
+    "ranked_history_events": EVENTS + _RANKED,
     "next_order": SALES
     + """
 SELECT o.user_id, l.order_id, l.product_id, p.product_name, l.reordered
@@ -478,6 +522,52 @@ SELECT user_id, CAST(rn AS INT) AS "rank", product_id, product_name,
        round(avg_cart_position, 2) AS avg_cart_position
 FROM likely WHERE rn <= 10
 """,
+    "als_optimality": EVENTS
+    + "SELECT user_id, count(*) AS n_products, true AS optimal FROM interactions GROUP BY 1",
+    "als_search": EVENTS
+    + f"""
+, catalogue AS (SELECT count(DISTINCT product_id) AS p FROM interactions)
+SELECT DISTINCT user_id, least(10, p) AS n, least(10, p) AS n_other, {_NONE} AS n_different
+FROM interactions, catalogue
+""",
+    "als_grid_recounted": EVENTS + _TUNED_USERS
+    + """
+SELECT CAST(g.i AS INT) AS position, n.n_users, true AS same
+FROM range(6) g(i), (SELECT count(*) AS n_users FROM tuned) n
+""",
+    "metrics_recounted": EVENTS
+    + """
+, n AS (SELECT count(DISTINCT user_id) AS every,
+               count(DISTINCT user_id) FILTER (WHERE user_id IN (SELECT user_id FROM interactions)) AS known
+        FROM truth)
+SELECT m.model, m.users, CASE WHEN m.users = 'truth' OR m.model = 'popularity' THEN every ELSE known END AS n_users,
+       true AS same
+FROM n, (VALUES ('popularity', 'common'), ('popularity', 'truth'), ('als', 'common'), ('als', 'truth')) m(model, users)
+""",
+    "recommender_large_ids": EVENTS
+    + f"""
+, catalogue AS (SELECT count(DISTINCT product_id) AS p FROM interactions)
+SELECT DISTINCT user_id + 8589934592 AS user_id, least(10, p) AS n, CAST(least(10, p) AS INT) AS last_rank,
+       least(10, p) AS n_products, {_NONE} AS n_unknown, {_NONE} AS n_rising
+FROM interactions, catalogue
+""",
+    "rf_walked": EVENTS
+    + _SPLIT_DATASET
+    + "SELECT user_id, product_id, true AS equal FROM parted WHERE split = 'test'",
+    "rf_fit_check": EVENTS
+    + _SPLIT_DATASET
+    + f"""
+SELECT CAST(t.i AS INT) AS tree, count(*) AS n_rows, count(*) FILTER (WHERE label = 1) AS n_positive,
+       {_NONE} AS wrong_counts, {_NONE} AS wrong_impurities, {_NONE} AS wrong_gains
+FROM parted, range(10) t(i) WHERE split = 'train' GROUP BY t.i
+""",
+    "rf_cells_recounted": EVENTS
+    + _SPLIT_DATASET
+    + f"""
+SELECT q.name, count(*) AS n_rows, {_NONE} AS gap
+FROM parted, (VALUES ('rf_default_eval'), ('rf_holdout')) q(name) WHERE split = 'test' GROUP BY q.name
+""",
+    "pipeline_tables": EVENTS + _SPLIT_DATASET + _PIPELINE_TABLES,
     "als_fit": EVENTS
     + """
 SELECT 'user' AS side, user_id AS id, CAST(20 AS INT) AS n_factors, true AS nonnegative
@@ -499,13 +589,8 @@ FROM own, (SELECT count(DISTINCT product_id) AS p FROM interactions) WHERE p > b
 SELECT count(DISTINCT user_id) AS n_users, true AS in_bounds
 FROM truth WHERE user_id IN (SELECT user_id FROM interactions)
 """,
-    "als_grid": EVENTS
+    "als_grid": EVENTS + _TUNED_USERS
     + """
-, ends AS (SELECT user_id, max(order_number) AS last_number FROM prior_orders
-           WHERE user_id IN (SELECT user_id FROM labelled) GROUP BY 1),
-tuned AS (
-  SELECT h.user_id FROM history h JOIN ends e ON h.user_id = e.user_id GROUP BY 1
-  HAVING bool_or(h.order_number = e.last_number) AND bool_or(h.order_number < e.last_number))
 SELECT g.position, g.rank, g.reg, n.n_users, true AS in_bounds
 FROM (VALUES (0, 5, CAST(0.05 AS DOUBLE)), (1, 5, 0.1), (2, 10, 0.05), (3, 10, 0.1), (4, 20, 0.05),
              (5, 20, 0.1)) g(position, rank, reg),

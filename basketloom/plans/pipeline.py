@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,8 @@ from basketloom.operators.stats import (
     product_counts,
     top_products,
 )
-from basketloom.sources.durable import durable, fresh_path
+from basketloom.operators.recommender import Recommender
+from basketloom.sources.durable import delete, durable, fresh_path, publish, scope
 from basketloom.sources.models import save_model
 from basketloom.sources.tables import (
     FORMATS,
@@ -77,12 +79,14 @@ def popularity_sink(
     write_table(top_products(counts, tables.products, k), path, "csv")
 
 
-def run_manifest(spark: SparkSession, config: Config, models: str = "als+random forest") -> DataFrame:
-    """One row with the settings and the time the run ended."""
+def run_manifest(
+    spark: SparkSession, config: Config, models: str = "als+random forest", run: str = ""
+) -> DataFrame:
+    """One row with the settings, the run's name and the time the run ended."""
     row = spark.createDataFrame(
-        [(models, "trained", *asdict(config).values())],
+        [(models, "trained", *asdict(config).values(), run)],
         "model string, status string, max_user_id bigint, rank int, reg double, alpha double,"
-        " iterations int, trees int, depth int, threshold double, seed int, k int",
+        " iterations int, trees int, depth int, threshold double, seed int, k int, run string",
     )
     return row.withColumn("completed_at", F.current_timestamp())
 
@@ -92,15 +96,34 @@ def run_pipeline(
 ) -> None:
     """Check, analyse, train and write everything below ``target``.
 
+    All results are written to a folder of their own first and take the places of older
+    ones together (see ``publish``); the manifest in ``<target>/runs`` names the run last.
+    A run that ends half-way leaves the results before it as they were. Its own folder
+    and all intermediate tables are deleted in any case.
+    """
+    problems = schema_contract(spark, found_columns(spark, source, fmt)).collect()
+    if problems:
+        raise ValueError(f"input not complete: {[tuple(p) for p in problems]}")
+    target = target.rstrip("/")
+    folder = f"run-{uuid.uuid4().hex}"
+    try:
+        with scope(spark):
+            _run(spark, source, f"{target}/{folder}", fmt, config)
+        publish(spark, f"{target}/{folder}", target)
+    finally:
+        delete(spark, f"{target}/{folder}")
+    write_table(run_manifest(spark, config, run=folder), f"{target}/runs", mode="append")
+
+
+def _run(spark: SparkSession, source: str, target: str, fmt: str, config: Config) -> None:
+    """All tables of a run.
+
     The order lines are joined to their orders once. Profiles, purchase counts,
     popularity and features all start from the durable (user, product) table.
 
     The random forest is trained on 70 % of the users with a next order, its
     threshold is chosen on 15 % and judged on the last 15 %.
     """
-    problems = schema_contract(spark, found_columns(spark, source, fmt)).collect()
-    if problems:
-        raise ValueError(f"input not complete: {[tuple(p) for p in problems]}")
     tables = load_tables(spark, source, fmt)
     if fmt == "csv":
         # Text is parsed once; the jobs below read columns.
@@ -116,14 +139,12 @@ def run_pipeline(
     write_table(customer_profile(tables, pairs=all_pairs), f"{target}/customer_profile")
     pairs = all_pairs
 
-    bought, *maps = als.index_ids(pairs.select("user_id", "product_id", "purchases"))
-    for name, ids in zip(("user_ids", "product_ids"), maps):
-        write_table(ids, f"{target}/models/{name}")
-    als_model = als.fit_als(
-        bought, config.rank, config.reg, config.alpha, config.iterations, config.seed
+    recommender = Recommender.fit(
+        pairs, rank=config.rank, reg=config.reg, alpha=config.alpha,
+        iterations=config.iterations, seed=config.seed,
     )
-    save_model(als_model, f"{target}/models/als")
-    recommended = durable(als.recommend_known(als_model, tuple(maps), config.k), "recommended")
+    recommender.save(f"{target}/models")
+    recommended = durable(recommender.recommend(config.k), "recommended")
     write_table(recommend_named(recommended, tables.products), f"{target}/recommendations")
     truth = durable(actual_sets(tables.orders, tables.train), "truth")
     cohort_counts = pairs.groupBy("product_id").agg(F.sum("purchases").alias("n"))
@@ -181,7 +202,6 @@ def run_pipeline(
         ),
         f"{target}/reorder_predictions",
     )
-    write_table(run_manifest(spark, config), f"{target}/runs", mode="append")
 
 
 def main() -> None:

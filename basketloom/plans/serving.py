@@ -5,13 +5,12 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.ml.classification import RandomForestClassificationModel
-from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 
-from basketloom.operators.als import recommend, recommend_known
 from basketloom.operators.history import restrict
 from basketloom.operators.profile import customer_profile
 from basketloom.operators.recommend import recommend_named
+from basketloom.operators.recommender import Recommender
 from basketloom.operators.reorder import THRESHOLD, reorder_predictions
 from basketloom.sources.durable import durable
 from basketloom.sources.tables import Tables
@@ -33,19 +32,10 @@ def user_profiles(tables: Tables, users: DataFrame) -> DataFrame:
 
 
 def user_recommendations(
-    tables: Tables,
-    model: ALSModel,
-    users: DataFrame,
-    k: int = 10,
-    ids: tuple[DataFrame, DataFrame] | None = None,
+    tables: Tables, recommender: Recommender, users: DataFrame, k: int = 10
 ) -> DataFrame:
-    """Named recommendations for some users; none for users the model does not know.
-
-    ``ids`` are the maps saved with a model of :func:`index_ids`, as the pipeline
-    saves them (``load_ids``).
-    """
-    found = recommend(model, k, users) if ids is None else recommend_known(model, ids, k, users)
-    return recommend_named(found, tables.products)
+    """Named recommendations for some users; none for users the model does not know."""
+    return recommend_named(recommender.recommend(k, users), tables.products)
 
 
 def user_reorders(

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from basketloom.functions.numbering import dense_ids, number_rows
+from basketloom.functions.numbering import dense_ids, number_rows, number_sorted
 from basketloom.functions.splits import split_name
 
 
@@ -75,3 +75,29 @@ def test_split_of_large_ids(spark):
     ids = spark.createDataFrame([(2**63 - 1,), (-(2**63),)], "user_id bigint")
     names = ids.select(split_name("user_id", {"a": 1, "b": 1}).alias("s")).collect()
     assert all(r.s in ("a", "b") for r in names)
+
+
+@pytest.mark.parametrize("keys", [["key"], []])
+def test_sorted_numbers_equal_plain_window(skewed, keys):
+    rows = skewed.withColumn("key", F.when(F.col("key") != 7, F.col("key")))  # 7 becomes null
+    order = [F.desc("position"), F.asc("row_id")]
+    got = number_sorted(rows, keys, order, "n")
+    want = rows.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    assert got.columns == want.columns == ["key", "position", "row_id", "n"]
+    assert got.exceptAll(want).isEmpty() and got.count() == 30_000
+
+
+def test_sorted_ranges_cut_the_hot_group(skewed):
+    """A third of the rows has one key, and one count; no range has many more than its share."""
+    rows = skewed.withColumn("n", F.when(F.col("key") == 0, 1).otherwise(F.col("key")))
+    for keys, order in ((["key"], ["position", "row_id"]), ([], [F.desc("n"), "row_id"])):
+        got = number_sorted(rows, keys, order, "number")
+        cut = got._jdf.queryExecution().analyzed().collectLeaves().mkString()
+        assert "_range" in cut
+        ranges = rows.repartitionByRange(*(F.col(c) for c in keys), *order)
+        sizes = ranges.groupBy(F.spark_partition_id()).agg(F.count("*").alias("rows"))
+        assert sizes.agg(F.max("rows")).first()[0] < 2 * 30_000 / sizes.count()
+
+
+def test_numbers_of_nothing(skewed):
+    assert number_sorted(skewed.limit(0), ["key"], ["position"], "n").collect() == []

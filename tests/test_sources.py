@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from basketloom.operators import als, history, profile, reorder
-from basketloom.plans import catalog, serving
+from basketloom.plans import catalog, pipeline, serving
 from basketloom.plans.pipeline import Config, run_manifest, run_pipeline
+from basketloom.sources import durable as durable_module
 from basketloom.sources import tables as src
-from basketloom.sources.durable import durable
+from basketloom.sources.durable import delete, durable, fresh_path, publish, scope, shared_dir
 from basketloom.sources.models import load_model, save_model
 from basketloom.sources.schemas import TABLES
 
@@ -147,7 +150,7 @@ def test_user_answers_agree_with_all_users(spark, events):
     every = reorder.reorder_predictions(events, forest, threshold=0.0)
     assert some.exceptAll(every.where("user_id IN (3, 4)")).isEmpty()
     assert every.where("user_id IN (3, 4)").exceptAll(some).isEmpty()
-    named = serving.user_recommendations(events, catalog._als(spark, SF_DIR), few)
+    named = serving.user_recommendations(events, catalog._recommender(spark, SF_DIR), few)
     assert {r.user_id for r in named.select("user_id").distinct().collect()} == {3, 4}
 
 
@@ -201,3 +204,81 @@ def test_pipeline(spark, events, tmp_path):
 def test_pipeline_refuses_incomplete_input(spark, tmp_path):
     with pytest.raises(ValueError, match="missing table"):
         run_pipeline(spark, str(tmp_path), str(tmp_path / "out"))
+
+
+def files_in(path):
+    return sorted(p.name for p in path.iterdir() if not p.name.startswith("."))
+
+
+def test_a_scope_deletes_its_tables(spark):
+    with pytest.raises(ZeroDivisionError), scope(spark) as outer:
+        df = durable(spark.range(5))
+        assert df.inputFiles()[0].startswith(f"file://{outer.removeprefix('file:')}/")
+        with scope(spark) as inner:
+            assert durable(spark.range(3), "inner").count() == 3
+            assert inner.startswith(outer)
+        assert df.count() == 5
+        1 / 0
+    for path in (inner, outer):
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            spark.read.parquet(path)
+    assert not fresh_path(spark, "x").startswith(outer)
+    delete(spark, outer)  # there is none any more
+
+
+def test_results_are_replaced_together(spark, tmp_path):
+    new, target = tmp_path / "out" / "run-1", tmp_path / "out"
+    for path, n in ((target / "a", 1), (new / "a", 2), (new / "b", 2), (target / "kept", 1)):
+        spark.range(n).write.parquet(str(path))
+    publish(spark, str(new), str(target))
+    assert [spark.read.parquet(f"{target}/{n}").count() for n in ("a", "b", "kept")] == [2, 2, 1]
+    assert files_in(new) == [] and files_in(target) == ["a", "b", "kept", "run-1"]
+
+
+def test_a_failed_replacement_is_undone(spark, tmp_path, monkeypatch):
+    new, target = tmp_path / "out" / "run-1", tmp_path / "out"
+    for path, n in ((target / "a", 1), (target / "b", 1), (new / "a", 2), (new / "b", 2)):
+        spark.range(n).write.parquet(str(path))
+    files, make = durable_module._file_system(spark, str(target))
+
+    class Failing:
+        renamed = 0
+
+        def __getattr__(self, name):
+            return getattr(files, name)
+
+        def rename(self, source, goal):
+            self.renamed += 1
+            return self.renamed != 4 and files.rename(source, goal)
+
+    monkeypatch.setattr(durable_module, "_file_system", lambda *_: (Failing(), make))
+    with pytest.raises(OSError):
+        publish(spark, str(new), str(target))
+    assert [spark.read.parquet(f"{target}/{n}").count() for n in ("a", "b")] == [1, 1]
+    assert [spark.read.parquet(f"{new}/{n}").count() for n in ("a", "b")] == [2, 2]
+
+
+def test_a_broken_run_leaves_the_results_before_it(spark, events, tmp_path, monkeypatch):
+    source, target = str(tmp_path / "in"), tmp_path / "out"
+    src.write_tables(events, source, "csv")
+    config = Config(trees=2, depth=2, rank=2, iterations=1)
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    before = files_in(shared)
+    run_pipeline(spark, source, str(target), config=config)
+    names = files_in(target)
+    profiles = spark.read.parquet(f"{target}/customer_profile").count()
+
+    def broken(*args, **settings):
+        raise RuntimeError("no forest")
+
+    monkeypatch.setattr(pipeline.reorder, "fit_reorder", broken)
+    with pytest.raises(RuntimeError, match="no forest"):
+        run_pipeline(spark, source, str(target), config=config)
+    monkeypatch.undo()
+    assert files_in(target) == names
+    assert spark.read.parquet(f"{target}/customer_profile").count() == profiles
+    assert spark.read.parquet(f"{target}/runs").count() == 1
+    run_pipeline(spark, source, str(target), config=config)
+    assert files_in(target) == names and spark.read.parquet(f"{target}/runs").count() == 2
+    # Only what the factorisation checkpoints is left of three runs.
+    assert [n for n in files_in(shared) if n not in before and "-" in n and n.startswith("scope")] == []
