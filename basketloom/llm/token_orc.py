@@ -33,7 +33,7 @@ CACHED_CHARS = 64
 
 # White space and what follows up to the next, or up to a comma or full stop behind a
 # letter or digit. The vocabulary's own split never reaches across either place, so
-# units are encoded apart.
+# units are encoded apart. Added tokens hold neither, so each stays inside a unit.
 _UNIT = re.compile(r"\s*+(?:[^\s,.]++(?:(?!\S)|(?<=[^\W_]))|\S++)|\s++")
 # White space to Python, but not to the split: texts with one are encoded whole.
 _NO_UNITS = re.compile(r"[\x1c-\x1f]")
@@ -53,7 +53,6 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are text
         (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
 
