@@ -125,8 +125,9 @@ def novel(model: ALSModel, interactions: DataFrame, k: int = 10) -> DataFrame:
     a list is filled however much that is.
     """
     bought = interactions.select("user_id", "product_id").distinct()
-    asking = model.userFactors.join(
-        bought.select(F.col("user_id").alias("id")), "id", "left_semi"
+    asking = durable(
+        model.userFactors.join(bought.select(F.col("user_id").alias("id")), "id", "left_semi"),
+        "asking",
     )
     return search_best(asking, model.itemFactors, model.rank, k, without=bought).rows
 

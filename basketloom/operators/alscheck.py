@@ -18,7 +18,7 @@ from basketloom.operators.als import ALPHA, REG
 
 #: Largest gradient, in parts of the largest entry of the right side. The solver stops
 #: at small steps and factors are stored in single precision.
-TOLERANCE = 1e-3
+TOLERANCE = 1e-5
 
 
 def _dot(left: str, right: str, rank: int) -> Column:

@@ -20,8 +20,8 @@ from basketloom.sources.durable import durable
 
 #: Products of the first layer, how many times as many are seen after each further
 #: one, and the products of a block.
-FIRST = 256
-GROWTH = 4
+FIRST = 128
+GROWTH = 8
 BLOCK = 1024
 
 #: Users that meet a block of products in one place.
@@ -84,7 +84,6 @@ def search_best(
         _vectors(products, "product_id", "p", rank), [], [F.desc("p_length"), "product_id"], "place"
     )
     p = durable(p.withColumn("block", F.floor((F.col("place") - 1) / block)), "products-by-length")
-    u = durable(u, "users")
     n_users, n_products = u.count(), p.count()
     groups = max(1, -(-n_users // group))
     spread = F.pmod(F.xxhash64("user_id"), F.lit(groups)).cast("int")
@@ -95,9 +94,8 @@ def search_best(
     scored, start, end = 0, 0, min(first, n_products)
     while start < end:
         layer = p.where(F.col("place").between(start + 1, end))
-        blocks = durable(
-            layer.groupBy("block").agg(F.max("p_length").alias("longest"), F.count("*").alias("n")),
-            "blocks",
+        blocks = layer.groupBy("block").agg(
+            F.max("p_length").alias("longest"), F.count("*").alias("n")
         )
         bounds = blocks.agg(F.sort_array(F.collect_list(F.struct("block", "longest", "n"))))
         # Blocks are in order of their longest vectors: those a user needs come first.
@@ -110,9 +108,7 @@ def search_best(
         )
         cells = active.withColumn("bounds", bounds.scalar()).withColumn("cell", F.explode(needed))
         cells = cells.withColumn("block", F.col("cell.block"))
-        met = cells.drop("bounds", "cell").join(
-            _copies(layer, groups).hint("shuffle_hash"), ["block", "group"]
-        )
+        met = cells.drop("bounds", "cell").join(_copies(layer, groups), ["block", "group"])
         likely = met.select("user_id", "product_id", score.alias("score"), "least").where(
             F.col("least").isNull() | (F.col("score") >= F.col("least"))
         ).drop("least")
@@ -120,10 +116,10 @@ def search_best(
             likely = likely.join(
                 without.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti"
             )
-        best = durable(_first_k(best.drop("rank").unionByName(likely), k), "best")
         met_now = cells.agg(F.sum("cell.n")).first()[0]
         if not met_now:
             break
+        best = durable(_first_k(best.drop("rank").unionByName(likely), k), "best")
         scored += met_now
         start, end = end, min(end * GROWTH, n_products)
     return Search(

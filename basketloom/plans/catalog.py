@@ -422,6 +422,17 @@ def _scored(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
     return reorder.score_reorder(_forest(spark, sf_dir), rows)
 
 
+def _all_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _once(spark, sf_dir, "all lists", lambda: als.recommend(_als(spark, sf_dir)))
+
+
+def _novel_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _once(
+        spark, sf_dir, "novel lists",
+        lambda: als.novel(_als(spark, sf_dir), _bought(spark, sf_dir)),
+    )
+
+
 def _loaded_als(spark: SparkSession, sf_dir: str) -> ALSModel:
     path = fresh_path(spark, "als")
     save_model(_als(spark, sf_dir), path)
@@ -643,7 +654,7 @@ def _als_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bounded search against the model's own scoring of all pairs."""
     model = _als(spark, sf_dir)
     every = model.userFactors.select(F.col("id").alias("user_id"))
-    return facts.list_gaps(als.recommend(model), als.recommend(model, 10, every))
+    return facts.list_gaps(_all_lists(spark, sf_dir), als.recommend(model, 10, every))
 
 
 QUERIES["als_optimality"] = _als_optimality
@@ -662,22 +673,22 @@ QUERIES["rf_cells_recounted"] = _rf_cells
 QUERIES["pipeline_tables"] = _pipeline_tables
 QUERIES["als_fit"] = lambda spark, sf_dir: facts.factor_facts(_als(spark, sf_dir))
 QUERIES["als_recommend_all"] = lambda spark, sf_dir: facts.list_facts(
-    als.recommend(_als(spark, sf_dir)), _bought(spark, sf_dir)
+    _all_lists(spark, sf_dir), _bought(spark, sf_dir)
 )
 QUERIES["als_recommend_subset"] = lambda spark, sf_dir: facts.list_facts(
     als.recommend(_loaded_als(spark, sf_dir), 10, _labelled(spark, sf_dir)),
     _bought(spark, sf_dir),
 )
 QUERIES["als_named"] = lambda spark, sf_dir: facts.list_facts(
-    lists.recommend_named(als.recommend(_als(spark, sf_dir)), _products(spark, sf_dir)),
+    lists.recommend_named(_all_lists(spark, sf_dir), _products(spark, sf_dir)),
     _bought(spark, sf_dir),
     _products(spark, sf_dir),
 )
 QUERIES["als_novel"] = lambda spark, sf_dir: facts.novel_facts(
-    als.novel(_als(spark, sf_dir), _bought(spark, sf_dir)), _bought(spark, sf_dir)
+    _novel_lists(spark, sf_dir), _bought(spark, sf_dir)
 )
 QUERIES["als_novel_counts"] = lambda spark, sf_dir: (
-    als.novel(_als(spark, sf_dir), _bought(spark, sf_dir))
+    _novel_lists(spark, sf_dir)
     .groupBy("user_id")
     .agg(F.count("*").alias("n"), F.max("rank").alias("last_rank"))
 )
