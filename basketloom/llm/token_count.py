@@ -55,7 +55,7 @@ def _byte_characters() -> list[str]:
 
 _CHARACTERS = _byte_characters()
 _TO_BYTE = {c: b for b, c in enumerate(_CHARACTERS)}
-_FROM_LATIN = {b: c for b, c in enumerate(_CHARACTERS)}
+FROM_LATIN = {b: c for b, c in enumerate(_CHARACTERS)}
 
 
 def _tokenizer(path: str):
@@ -121,7 +121,7 @@ class WordTokens(dict):
     def __missing__(self, word: str) -> int:
         if not _assigned(word):
             return _UNSURE
-        n = len(self.merge(word.encode().decode("latin-1").translate(_FROM_LATIN)))
+        n = len(self.merge(word.encode().decode("latin-1").translate(FROM_LATIN)))
         if len(word) <= REMEMBERED_CHARS:
             if len(self) >= self.whole + self.remembered:  # the older half goes
                 for old in list(islice(self, self.whole, self.whole + self.remembered // 2 + 1)):

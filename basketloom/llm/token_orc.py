@@ -11,8 +11,10 @@ from __future__ import annotations
 import functools
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketloom.llm.common import chunks, strings, written
+from basketloom.llm.token_count import FROM_LATIN, added_tokens
 
 END_ID = 0
 #: Rows of one row index entry, bytes of a stripe, and false positives of the Bloom filters.
@@ -28,7 +31,7 @@ STRIPE_BYTES = 16 << 20
 BLOOM_FPP = 0.01
 
 #: Distinct units whose ids a Python worker remembers, and their longest length.
-CACHED_UNITS = 300_000
+CACHED_UNITS = 600_000
 CACHED_CHARS = 64
 
 # White space and what follows up to the next, or up to a comma or full stop behind a
@@ -37,55 +40,53 @@ CACHED_CHARS = 64
 _UNIT = re.compile(r"\s*+(?:[^\s,.]++(?:(?!\S)|(?<=[^\W_]))|\S++)|\s++")
 # White space to Python, but not to the split: texts with one are encoded whole.
 _NO_UNITS = re.compile(r"[\x1c-\x1f]")
-# Units that can be encoded in one text, a line break between them, as the split
-# leaves a line break before one blank or none alone.
-_PLAIN = re.compile(r" ?\S+")
-JOINED = 64
-
 SCHEMA = "chunk int, row bigint, doc_id bigint, ids array<int>"
 
 
+class UnitIds(dict):
+    """Little-endian unsigned 32-bit ids by unit; new units are encoded when asked for.
+
+    When there is no room the older half goes, so that the units of the last batches
+    stay known.
+    """
+
+    def __init__(self, tokenizer, most: int = CACHED_UNITS) -> None:
+        super().__init__()
+        self.tokenizer, self.most = tokenizer, most
+        self.merge = tokenizer.model.tokenize
+
+    def __missing__(self, unit: str) -> bytes:
+        letters = unit[1:] if unit[0] == " " else unit
+        if letters.isalpha():  # one word of the split: only the merges are left to do
+            found = [t.id for t in self.merge(unit.encode().decode("latin-1").translate(FROM_LATIN))]
+        else:
+            found = self.tokenizer.encode(unit, add_special_tokens=False).ids
+        ids = struct.pack(f"<{len(found)}I", *found)
+        if len(unit) <= CACHED_CHARS:
+            if len(self) >= self.most:
+                for old in list(islice(self, self.most // 2 + 1)):
+                    del self[old]
+            self[unit] = ids
+        return ids
+
+
 class UnitEncoder:
     """Ids of texts by the tokenizers library, each distinct unit encoded once."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, most: int = CACHED_UNITS) -> None:
+        added_tokens(path)  # refuses what is not byte-level
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.known: dict[str, bytes] = {}
-
-    def _apart(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
-
-    def _together(self, units: list[str]) -> list[bytes]:
-        """Ids of plain units, which hold no line break, from texts of many of them."""
-        joined = ["\n".join(units[i : i + JOINED]) for i in range(0, len(units), JOINED)]
-        out: list[bytes] = []
-        for one in self._apart(joined):
-            ids = np.frombuffer(one, "<u4")
-            breaks = np.flatnonzero(ids == self.line_break) * 4
-            out += [one[a:b] for a, b in zip([0, *(breaks + 4).tolist()], [*breaks.tolist(), len(one)])]
-        return out
+        self.known = UnitIds(self.tokenizer, most)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > CACHED_UNITS:
-            self.known = {}
-        units = [[t] if _NO_UNITS.search(t) else _UNIT.findall(t) for t in texts]
-        found = [list(map(self.known.get, some)) for some in units]
-        gaps = [[k for k, i in enumerate(ids) if i is None] for ids in found]
-        new = list({some[k] for some, gap in zip(units, gaps) for k in gap})
-        plain = [u for u in new if _PLAIN.fullmatch(u)]
-        other = [u for u in new if not _PLAIN.fullmatch(u)]
-        fresh = dict(zip(plain + other, self._together(plain) + self._apart(other)))
-        self.known.update((u, i) for u, i in fresh.items() if len(u) <= CACHED_CHARS)
-        for some, ids, gap in zip(units, found, gaps):
-            for k in gap:
-                ids[k] = fresh[some[k]]
-        return list(map(b"".join, found))
+        known = self.known.__getitem__
+        return [
+            b"".join(map(known, [t] if _NO_UNITS.search(t) else _UNIT.findall(t))) for t in texts
+        ]
 
 
 @functools.lru_cache(maxsize=2)
