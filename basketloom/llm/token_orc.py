@@ -31,7 +31,7 @@ STRIPE_BYTES = 16 << 20
 BLOOM_FPP = 0.01
 
 #: Distinct units whose ids a Python worker remembers, and their longest length.
-CACHED_UNITS = 600_000
+CACHED_UNITS = 800_000
 CACHED_CHARS = 64
 
 # White space and what follows up to the next, or up to a comma or full stop behind a
@@ -39,7 +39,11 @@ CACHED_CHARS = 64
 # units are encoded apart. Added tokens hold neither, so each stays inside a unit.
 _UNIT = re.compile(r"\s*+(?:[^\s,.]++(?:(?!\S)|(?<=[^\W_]))|\S++)|\s++")
 # White space to Python, but not to the split: texts with one are encoded whole.
-_NO_UNITS = re.compile(r"[\x1c-\x1f]")
+_NO_UNITS = "\x1c\x1d\x1e\x1f"
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(16)]
+
+BLANK = FROM_LATIN[0x20]
+
 SCHEMA = "chunk int, row bigint, doc_id bigint, ids array<int>"
 
 
@@ -58,10 +62,14 @@ class UnitIds(dict):
     def __missing__(self, unit: str) -> bytes:
         letters = unit[1:] if unit[0] == " " else unit
         if letters.isalpha():  # one word of the split: only the merges are left to do
-            found = [t.id for t in self.merge(unit.encode().decode("latin-1").translate(FROM_LATIN))]
+            if unit.isascii():
+                word = unit.replace(" ", BLANK)
+            else:
+                word = unit.encode().decode("latin-1").translate(FROM_LATIN)
+            found = [t.id for t in self.merge(word)]
         else:
             found = self.tokenizer.encode(unit, add_special_tokens=False).ids
-        ids = struct.pack(f"<{len(found)}I", *found)
+        ids = _PACK[len(found)](*found) if len(found) < len(_PACK) else np.array(found, "<u4").tobytes()
         if len(unit) <= CACHED_CHARS:
             if len(self) >= self.most:
                 for old in list(islice(self, self.most // 2 + 1)):
@@ -85,7 +93,8 @@ class UnitEncoder:
         """Little-endian unsigned 32-bit ids of each text."""
         known = self.known.__getitem__
         return [
-            b"".join(map(known, [t] if _NO_UNITS.search(t) else _UNIT.findall(t))) for t in texts
+            b"".join(map(known, [t] if any(map(t.__contains__, _NO_UNITS)) else _UNIT.findall(t)))
+            for t in texts
         ]
 
 
