@@ -24,8 +24,11 @@ from basketloom.llm import (
     warc,
 )
 from basketloom.llm.common import read
+from basketloom.llm.oracles import ORACLES
 from basketloom.sources.durable import fresh_path
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -122,30 +125,3 @@ def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op13_periodic_runs")
 def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(read(spark, sf_dir, "documents"), planted=True)
-
-
-ORACLES: dict[str, str] = {
-    "op12_hard_negatives": """
-WITH items AS (
-    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS parts
-    FROM embeddings
-    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-), scored AS (
-    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
-           CAST(list_inner_product(a.parts, b.parts) AS BIGINT) AS score
-    FROM items a JOIN items b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
-), positives AS (
-    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
-    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
-)
-SELECT p.anchor_id, p.positive_id,
-       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id
-                               ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
-       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
-FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
- AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
-QUALIFY rank <= 3
-""",
-}

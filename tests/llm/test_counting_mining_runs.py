@@ -186,12 +186,15 @@ def test_best_keeps_the_smaller_column_of_equal_scores():
     assert (row.tolist(), column.tolist()) == ([0, 0, 1], [1, 2, 1])
 
 
-def test_hard_negatives_equal_sql(spark):
-    found = QUERIES["op12_hard_negatives"](spark, SF)
-    path = f"{SF}/embeddings.parquet"
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_equal_sql(spark, name):
+    found = QUERIES[name](spark, SF)
     with duckdb.connect() as db:
-        db.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{path}'")
-        rows = db.execute(ORACLES["op12_hard_negatives"]).fetchall()
+        for table in ("documents", "pages", "embeddings"):
+            db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+        rows = db.execute(ORACLES[name]).fetchall()
+        names = [d[0] for d in db.description]
+    assert found.columns == names
     assert rows and by_id(found.collect()) == by_id(rows)
 
 
