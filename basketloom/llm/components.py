@@ -64,7 +64,8 @@ def components(links: DataFrame) -> DataFrame:
     now = written(pairs.mapInArrow(_forests, "a bigint, b bigint").distinct(), "links")
 
     def state(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1000003)).first())
+        hashes = F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))
+        return tuple(df.agg(F.count("*"), hashes).first())
 
     before, after = None, state(now)
     while before != after and after[0]:

@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from basketloom.llm.common import chunks, utf8, written
 from basketloom.llm.components import components, forest
@@ -163,6 +164,24 @@ def fingerprint_links(
     return links
 
 
+def _grouped(
+    docs: DataFrame, max_bits: int, words: int, max_bucket: int
+) -> tuple[DataFrame, DataFrame]:
+    """``DF[doc_id, fp]`` of every row, and ``DF[fp, root, component_id]`` of every fingerprint.
+
+    ``root`` names a group; two groups may have one smallest id, if it is on several rows.
+    """
+    fps = written(fingerprints(docs, words), "fingerprints")
+    nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    roots = written(components(fingerprint_links(nodes, max_bits, max_bucket)), "roots")
+    known = written(nodes.join(roots, F.col("fp") == F.col("node")).drop("node"), "known")
+    least = written(known.groupBy("root").agg(F.min("first").alias("component_id")), "least")
+    linked = known.join(least, "root").select("fp", "root", "component_id")
+    single = nodes.join(roots, F.col("fp") == F.col("node"), "left_anti")
+    alone = single.select("fp", F.col("fp").alias("root"), F.col("first").alias("component_id"))
+    return fps, written(linked.union(alone), "groups")
+
+
 def simhash_groups(
     docs: DataFrame,
     max_bits: int = MAX_BITS,
@@ -175,39 +194,68 @@ def simhash_groups(
     of the group. Texts without a word, null or empty, have fingerprint zero and
     are linked like others. Equal fingerprints are one node, so copies cost no
     links. Rows without an id get a component by the others, null if all of the
-    group are so; repeated rows give repeated rows. Other columns are not read.
+    group are so; repeated rows give repeated rows. An empty table gives no rows.
+    Other columns are not read.
     """
-    fps = written(fingerprints(docs, words), "fingerprints")
-    nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    roots = written(components(fingerprint_links(nodes, max_bits, max_bucket)), "roots")
-    known = written(nodes.join(roots, F.col("fp") == F.col("node")).drop("node"), "known")
-    least = written(known.groupBy("root").agg(F.min("first").alias("component_id")), "least")
-    linked = known.join(least, "root").select("fp", "component_id")
-    single = nodes.join(roots, F.col("fp") == F.col("node"), "left_anti")
-    groups = written(linked.union(single.select("fp", "first")), "groups")
+    fps, groups = _grouped(docs, max_bits, words, max_bucket)
     return fps.join(groups, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
-def keep_one(docs: DataFrame, max_bits: int = MAX_BITS, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``docs`` with one document of each group of :func:`simhash_groups`, all columns.
+def _spare(name: str, columns: list[str]) -> str:
+    """A column name that is not in use, whatever the case of its letters."""
+    used = {c.lower() for c in columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
 
-    The one of the smallest id stays, once if repeated. Rows without an id stay
-    only in groups of nothing else: one for each group.
+def _with_fingerprint(docs: DataFrame, name: str, words: int) -> DataFrame:
+    """``docs`` with the fingerprint of each row behind its columns. Narrow."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            fps = np.array([fingerprint(t, words) for t in utf8(batch)], np.uint64)
+            yield batch.append_column(name, pa.array(fps.view(np.int64)))
+
+    schema = StructType([*docs.schema.fields, StructField(name, LongType())])
+    return docs.mapInArrow(run, schema)
+
+
+def keep_one(
+    docs: DataFrame,
+    max_bits: int = MAX_BITS,
+    words: int = SHINGLE_WORDS,
+    max_bucket: int = MAX_BUCKET,
+) -> DataFrame:
+    """``docs`` with one row of each group of :func:`simhash_groups`, all columns.
+
+    The row of the smallest id stays; of several rows with it, one of the smallest
+    fingerprint. Rows without an id stay only in groups of nothing else. So every
+    group has just one row, also where an id is on rows of several groups. Extra
+    columns are kept, whatever their names; an empty table gives no rows.
+
+    An id that one row has is enough to find it; only rows of other ids have their
+    fingerprints computed again.
     """
-    groups = simhash_groups(docs, max_bits, words)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(first, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
-    unnamed = docs.where(F.col("doc_id").isNull())
-    if unnamed.isEmpty():
-        return named
-    # Few, if any: fingerprints anew, as there is no id to join them by.
-    bare = groups.where("component_id IS NULL").select("fingerprint").distinct()
-    mark = F.pandas_udf(
-        lambda t: t.fillna("").map(lambda x: f"{fingerprint(x.encode(), words):016x}"), "string"
+    fps, groups = _grouped(docs, max_bits, words, max_bucket)
+    first = fps.join(groups, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = written(
+        first.groupBy("root").agg(
+            F.min("fp").alias("fp"), F.first("component_id").alias("doc_id")
+        ).select("doc_id", "fp"),
+        "chosen",
     )
-    kept = unnamed.withColumn("_fp", mark("text")).join(
-        bare, F.col("_fp") == bare["fingerprint"], "left_semi"
-    )
-    return named.union(kept.dropDuplicates(["_fp"]).select(docs.columns))
+    counts = fps.groupBy("doc_id").agg(F.count("*").alias("n"))
+    shared = written(counts.where("n > 1 OR doc_id IS NULL").select("doc_id"), "shared-ids")
+    named = docs.join(chosen.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    if shared.isEmpty():
+        return named
+    sure = named.join(shared, "doc_id", "left_anti").select(docs.columns)
+    fp = _spare("fp", docs.columns)
+    same_id = docs["doc_id"].eqNullSafe(shared["doc_id"])
+    unsure = _with_fingerprint(docs.join(shared, same_id, "left_semi"), fp, words)
+    wanted = unsure["doc_id"].eqNullSafe(chosen["doc_id"]) & (unsure[fp] == chosen["fp"])
+    kept = unsure.join(chosen, wanted, "left_semi").dropDuplicates(["doc_id", fp])
+    return sure.union(kept.select(docs.columns))

@@ -301,6 +301,18 @@ def test_simhash_groups(docs, corpus):
         assert kept == sorted(least.values())
 
 
+def test_one_row_of_every_group_stays(spark):
+    """Ids on rows of several groups, and without an id; columns named as the operator's own."""
+    a, b, c = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    rows = [(1, a), (1, b), (2, a), (3, b), (1, a), (None, c), (None, c), (None, a), (4, None), (None, "")]
+    df = frame(spark, rows).withColumns({"FP": F.lit("x"), "fp_": F.lit(7), "_fp": F.lit("y")})
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    assert kept.where("FP = 'x' AND fp_ = 7 AND _fp = 'y' AND t = 'clash'").count() == 4
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=key)
+    assert got == sorted([(1, a), (1, b), (None, c), (4, None)], key=key)
+
+
 def test_fingerprint_links_of_large_buckets(spark):
     rng = random.Random(2)
     base = rng.getrandbits(64)
@@ -420,5 +432,31 @@ def test_pipeline_stages(spark, corpus):
     assert all(rows[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest() for i, t in expected.items())
 
 
+def test_pipeline_of_edge_cases(spark, tmp_path):
+    """Null, empty, blank, long and repeated rows, ids on several rows and extra columns."""
+    word = "the quiet river moved slowly past old houses while people talked about weather and bread"
+    good = [" ".join(f"{w}{(i * 7 + k) % 19}" for i, w in enumerate(word.split() * 6)) for k in range(3)]
+    rows = [*EDGES, (1, good[0]), (1, good[1]), (30, good[0]), (31, good[1]), (32, good[2]), (32, good[2])]
+    none = frame(spark, rows).where("doc_id > 99")
+    for name, df in (("some", frame(spark, rows)), ("none", none)):
+        folder = str(tmp_path / name)
+        df.write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([(1, None), (2, ""), (3, "-" * 40)], "item_id bigint, text string").write.parquet(
+            f"{folder}/benchmark.parquet"
+        )
+        docs = df
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, folder)
+            assert docs.columns == df.columns
+        found = corpus_pipeline.run(spark, folder).collect()
+        assert [r.doc_id for r in found].count(1) == (2 if name == "some" else 0)
+        texts_left = [r.text for r in docs.collect()]
+        assert sorted(r.decoded_sha256 for r in found) == sorted(
+            hashlib.sha256((t or "").encode()).hexdigest() for t in texts_left
+        )
+        assert all(texts_left.count(t) == (name == "some") for t in good)
+
+
 def test_every_operator_has_a_query():
     assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
