@@ -35,6 +35,10 @@ DATE = "1970-01-01T00:00:00Z"
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+#: Compressed bytes of frames that a task reads, and the most tasks.
+TASK_BYTES = 2 << 20
+MAX_TASKS = 20_000
+
 INDEX = (
     "record_id string, page_id bigint, record_type string, bundle string, frame int,"
     " frame_start bigint, frame_bytes bigint, at bigint, length bigint"
@@ -261,6 +265,39 @@ def _page(urn: str | None) -> int | None:
     return int(number) if number else None
 
 
+def _record(head: dict[str, str], block: bytes) -> tuple:
+    """A row of ``RECORDS`` and the payload of a parsed record."""
+    http, _, payload = block.partition(b"\r\n\r\n")
+    size = int(re.search(rb"Content-Length: (\d+)", http)[1])
+    digest = head["warc-payload-digest"].removeprefix("sha1:")
+    refers = head.get("warc-refers-to")
+    if refers is None:
+        found = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        if (found, len(payload)) != (digest, size):
+            raise ValueError(f"damaged record {head['warc-record-id']}")
+    return (
+        head["warc-record-id"].strip("<>"), _page(head["warc-concurrent-to"]),
+        head.get("warc-target-uri"), head["warc-type"], _page(refers), size, digest, payload,
+    )
+
+
+def _dealt(frames: DataFrame) -> DataFrame:
+    """Frames over as many tasks as their bytes ask for.
+
+    Rows that name frames are tiny: by their own size all would go to one task.
+    """
+    frames = written(frames, "frames")
+    total = frames.agg(F.sum("frame_bytes")).first()[0] or 0
+    return frames.repartition(min(MAX_TASKS, 1 + total // TASK_BYTES), "bundle", "frame")
+
+
+def _unpacked(row: dict, unpack: zstandard.ZstdDecompressor) -> bytes:
+    store, path = opened(row["bundle"])
+    with store.open_input_file(path) as file:
+        file.seek(row["frame_start"])
+        return unpack.decompress(file.read(row["frame_bytes"]))
+
+
 def read_frames(frames: DataFrame, payloads: bool = False) -> DataFrame:
     """Records of frames: ``DF[record_id, page_id, url, record_type, refers_to,
     payload_bytes, payload_digest]``, and the payload if asked for.
@@ -274,28 +311,10 @@ def read_frames(frames: DataFrame, payloads: bool = False) -> DataFrame:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for row in batch.to_pylist():
-                store, path = opened(row["bundle"])
-                with store.open_input_file(path) as file:
-                    file.seek(row["frame_start"])
-                    raw = unpack.decompress(file.read(row["frame_bytes"]))
-                rows = []
-                for head, block in parse(raw):
-                    http, _, payload = block.partition(b"\r\n\r\n")
-                    size = int(re.search(rb"Content-Length: (\d+)", http)[1])
-                    digest = head["warc-payload-digest"].removeprefix("sha1:")
-                    refers = head.get("warc-refers-to")
-                    if refers is None:
-                        found = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                        if (found, len(payload)) != (digest, size):
-                            raise ValueError(f"damaged record {head['warc-record-id']}")
-                    some = (
-                        head["warc-record-id"].strip("<>"), _page(head["warc-concurrent-to"]),
-                        head.get("warc-target-uri"), head["warc-type"], _page(refers), size, digest,
-                    )
-                    rows.append(some + (payload,) * payloads)
-                yield _rows(rows, schema)
-
-    return frames.repartition("bundle", "frame").mapInArrow(run, schema)
+                rows = [_record(*r) for r in parse(_unpacked(row, unpack))]
+                yield _rows(rows if payloads else [r[:-1] for r in rows], schema)
+
+    return _dealt(frames).mapInArrow(run, schema)
 
 
 def read_bundles(index: DataFrame, payloads: bool = False) -> DataFrame:
@@ -304,12 +323,25 @@ def read_bundles(index: DataFrame, payloads: bool = False) -> DataFrame:
 
 
 def read_records(index: DataFrame, record_ids: DataFrame) -> DataFrame:
-    """Some records with their payloads; only the frames that hold them are read."""
+    """Some records with their payloads, by their places in the frames that hold them.
+
+    A frame is read and unpacked once for all its wanted records; of what is unpacked
+    only their bytes are parsed. An id that the index has not gives no row.
+    """
+    schema = RECORDS + ", payload binary"
     wanted = index.join(record_ids.select("record_id").distinct(), "record_id", "left_semi")
-    frames = wanted.select(*_names(FRAMES)).distinct()
-    return read_frames(frames, payloads=True).join(
-        record_ids.select("record_id").distinct(), "record_id", "left_semi"
-    )
+    places = F.sort_array(F.collect_set(F.struct("at", "length"))).alias("places")
+    frames = wanted.groupBy(*_names(FRAMES)).agg(places)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for row in batch.to_pylist():
+                raw = _unpacked(row, unpack)
+                cut = (raw[p["at"] : p["at"] + p["length"]] for p in row["places"])
+                yield _rows([_record(*r) for piece in cut for r in parse(piece)], schema)
+
+    return _dealt(frames).mapInArrow(run, schema)
 
 
 def archive(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFrame:
