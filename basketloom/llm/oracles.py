@@ -47,7 +47,8 @@ WITH texts AS (
     SELECT doc_id, sum(last - first) AS bytes, count(*) AS runs FROM spans GROUP BY doc_id
 )
 SELECT t.doc_id, t.n AS n_bytes, CAST(coalesce(r.bytes, 0) AS BIGINT) AS n_removed,
-       coalesce(r.runs, 0) AS n_spans, sha256(unhex(k.rest)) AS kept_sha256
+       coalesce(r.runs, 0) AS n_spans, sha256(unhex(k.rest)) AS kept_sha256,
+       r.doc_id IS NOT NULL AS has_repeats
 FROM texts t JOIN kept k USING (doc_id) LEFT JOIN removed r USING (doc_id)
 """
 

@@ -92,7 +92,8 @@ def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op8_suffix_dedup")
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.repeat_digests(read(spark, sf_dir, "documents"))
+    found = suffix_dedup.repeat_digests(read(spark, sf_dir, "documents"))
+    return found.withColumn("has_repeats", F.col("n_removed") > 0)
 
 
 @_query("op9_simhash")

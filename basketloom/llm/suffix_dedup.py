@@ -2,7 +2,7 @@
 
 Equal strings of ``WINDOW`` bytes choose the same anchor in them, so each window
 is judged with the other windows of its anchor's code only. A code whose windows
-all lie in equal surroundings needs no comparison; of the others each distinct
+all lie in equal surroundings, by digests of 128 bits, needs no comparison; of the others each distinct
 stretch of text is taken once, with its number of copies, and blocks of whole
 codes get a Burrows-Wheeler transform whose intervals are expanded, common
 prefixes by increasing value, up to the window length.
@@ -29,6 +29,9 @@ GRAM = 200
 BLOCK_BYTES = 1 << 20
 #: Bytes of distinct segments of one code, above which its windows get finer codes.
 GROUP_BYTES = 1 << 22
+#: Blocks of a task that compares segments, and the most tasks.
+TASK_BLOCKS = 4
+MAX_TASKS = 20_000
 #: Windows of one finer code, by their distance to the anchor; the last level needs no transform.
 FINER = (32, 1)
 
@@ -43,20 +46,22 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _code(segment: bytes, place: int) -> int:
-    return _signed(xxhash.xxh3_64_intdigest(segment, place))
+def _digest(segment: bytes, place: int) -> tuple[int, int]:
+    """128 bits that stand for the bytes of a segment and its anchor's place, as two numbers."""
+    both = xxhash.xxh3_128_intdigest(segment, place)
+    return _signed(both >> 64), _signed(both & (1 << 64) - 1)
 
 
 def anchor_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """``DF[t, g, c, s, n, a]``: windows ``s`` to ``s + n - 1`` of text ``t`` with one anchor.
+    """``DF[t, g, c, d, s, n, a]``: windows ``s`` to ``s + n - 1`` of text ``t`` with one anchor.
 
-    ``g`` is the anchor's code, ``a`` its place behind ``s``, and ``c`` stands for
-    all bytes of these windows. One row per row of ``docs`` and anchor. Narrow.
+    ``g`` is the anchor's code, ``a`` its place behind ``s``, and ``c`` and ``d`` are a
+    digest of all bytes of these windows. One row per row of ``docs`` and anchor. Narrow.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
-        kinds = [pa.int64()] * 3 + [pa.int32()] * 2
+        kinds = [pa.int64()] * 4 + [pa.int32()] * 2
         for batch in chunks(batches):
             owners, columns = [], [[] for _ in kinds]
             for i, text in enumerate(utf8(batch)):
@@ -65,19 +70,19 @@ def anchor_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 )
                 first, last, place = firsts.tolist(), lasts.tolist(), (places - firsts).tolist()
                 columns[0].append(codes.view(np.int64))
-                columns[1].append(
-                    [_code(text[f : e + window], p) for f, e, p in zip(first, last, place)]
-                )
-                columns[2].append(firsts)
-                columns[3].append(lasts - firsts + 1)
-                columns[4].append(places - firsts)
+                digests = [_digest(text[f : e + window], p) for f, e, p in zip(first, last, place)]
+                columns[1].append([c for c, _ in digests])
+                columns[2].append([d for _, d in digests])
+                columns[3].append(firsts)
+                columns[4].append(lasts - firsts + 1)
+                columns[5].append(places - firsts)
                 owners.append(np.full(len(codes), i))
             arrays = [pa.array(np.concatenate(c).astype(k.to_pandas_dtype())) for c, k in zip(columns, kinds)]
             t = batch.column("t").take(pa.array(np.concatenate(owners)))
-            yield pa.RecordBatch.from_arrays([t, *arrays], ["t", "g", "c", "s", "n", "a"])
+            yield pa.RecordBatch.from_arrays([t, *arrays], ["t", "g", "c", "d", "s", "n", "a"])
 
     return docs.select(_key().alias("t"), "text").mapInArrow(
-        run, "t binary, g bigint, c bigint, s bigint, n int, a int"
+        run, "t binary, g bigint, c bigint, d bigint, s bigint, n int, a int"
     )
 
 
@@ -87,9 +92,9 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _segments(docs: DataFrame, rows: DataFrame, window: int) -> DataFrame:
-    """The bytes of rows ``DF[t, g, c, s, n, copies]``: ``DF[g, c, copies, segment]``."""
+    """The bytes of rows ``DF[t, g, c, d, s, n, copies]``: ``DF[g, c, d, copies, segment]``."""
     wanted = rows.groupBy("t").agg(
-        F.collect_list(F.struct("g", "c", "s", "n", "copies")).alias("rows")
+        F.collect_list(F.struct("g", "c", "d", "s", "n", "copies")).alias("rows")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,16 +103,15 @@ def _segments(docs: DataFrame, rows: DataFrame, window: int) -> DataFrame:
             for text, some in zip(utf8(batch), batch.column("rows").to_pylist()):
                 for r in some:
                     end = r["s"] + r["n"] - 1 + window
-                    out.append((r["g"], r["c"], r["copies"], text[r["s"] : end]))
-            columns = list(zip(*out)) or [()] * 4
+                    out.append((r["g"], r["c"], r["d"], r["copies"], text[r["s"] : end]))
+            columns = list(zip(*out)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in
-                 zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                ["g", "c", "copies", "segment"],
+                [pa.array(c, k) for c, k in zip(columns, [pa.int64()] * 4 + [pa.binary()])],
+                ["g", "c", "d", "copies", "segment"],
             )
 
     return _texts(docs).join(wanted, "t").select("text", "rows").mapInArrow(
-        run, "g bigint, c bigint, copies bigint, segment binary"
+        run, "g bigint, c bigint, d bigint, copies bigint, segment binary"
     )
 
 
@@ -119,48 +123,33 @@ def _runs(flags: np.ndarray) -> list[dict[str, int]]:
 _RUNS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
 
 
-def _compared(segments: DataFrame, window: int, block: int, most: int) -> DataFrame:
-    """``DF[g, c, runs, finer]``: the repeated windows of each segment, or that ``g`` is too large."""
+def _compared(segments: DataFrame, window: int, block: int, tasks: int) -> DataFrame:
+    """``DF[g, c, d, runs]``: the repeated windows of each segment among those of its code."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, int, bytes]] = []  # whole codes, and the last one so far
-        sizes = {"held": 0, "last": 0, "n": 0}
-        large = None
-
-        def out(rows: list[tuple], finer: bool) -> pa.RecordBatch:
-            found = [[]] * len(rows) if finer else [
-                _runs(f) for f in repeated_windows([r[3] for r in rows], [r[2] for r in rows], window)
-            ]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                 pa.array(found, _RUNS), pa.array([finer] * len(rows), pa.bool_())],
-                ["g", "c", "runs", "finer"],
-            )
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        found = repeated_windows([r[4] for r in rows], [r[3] for r in rows], window)
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array([r[i] for r in rows], pa.int64()) for i in range(3)),
+             pa.array([_runs(f) for f in found], _RUNS)],
+            ["g", "c", "d", "runs"],
+        )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []  # whole codes, and the last one so far
+        size = 0
         for batch in chunks(batches, "segment"):
-            columns = [batch.column(c).to_pylist() for c in ("g", "c", "copies", "segment")]
+            columns = [batch.column(c).to_pylist() for c in ("g", "c", "d", "copies", "segment")]
             for row in zip(*columns):
-                if large is not None and row[0] == large:
-                    continue  # one row says that this code is too large
-                if held and row[0] != held[-1][0]:
-                    if sizes["held"] >= block:
-                        yield out(held, False)
-                        held, sizes["held"] = [], 0
-                    sizes["last"], sizes["n"] = 0, 0
+                if size >= block and row[0] != held[-1][0]:
+                    yield out(held)
+                    held, size = [], 0
                 held.append(row)
-                for k in ("held", "last"):
-                    sizes[k] += len(row[3])
-                sizes["n"] += 1
-                if sizes["last"] > most and sizes["n"] > 1:
-                    large = row[0]
-                    yield out(held[-1:], True)
-                    del held[-sizes["n"] :]
-                    sizes["held"] -= sizes["last"]
+                size += len(row[4])
         if held:
-            yield out(held, False)
+            yield out(held)
 
-    return segments.repartition("g").sortWithinPartitions("g", "c").mapInArrow(
-        run, "g bigint, c bigint, runs array<struct<first: int, last: int>>, finer boolean"
+    return segments.repartition(tasks, "g").sortWithinPartitions("g", "c", "d").mapInArrow(
+        run, "g bigint, c bigint, d bigint, runs array<struct<first: int, last: int>>"
     )
 
 
@@ -175,7 +164,7 @@ def _finer(docs: DataFrame, rows: DataFrame, window: int, width: int) -> DataFra
     places = docs.select(_key().alias("t"), "text").join(written(wanted, "wanted"), "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64()] * 3 + [pa.int32()] * 2
+        kinds = [pa.int64()] * 4 + [pa.int32()] * 2
         for batch in chunks(batches):
             owners, out = [], []
             rows = batch.column("rows").to_pylist()
@@ -189,43 +178,55 @@ def _finer(docs: DataFrame, rows: DataFrame, window: int, width: int) -> DataFra
                         core = text[start : max(start, start - width + 1 + window)]
                         code = _signed(xxhash.xxh3_64_intdigest(core, b) ^ (r["g"] & (2**64 - 1)))
                         segment = text[low : high + window]
-                        out.append((code, _code(segment, anchor - low), low, high - low + 1, anchor - low))
+                        digest = _digest(segment, anchor - low)
+                        out.append((code, *digest, low, high - low + 1, anchor - low))
                         owners.append(i)
             columns = list(zip(*out)) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("t").take(pa.array(owners, pa.int64())),
                  *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                ["t", "g", "c", "s", "n", "a"],
+                ["t", "g", "c", "d", "s", "n", "a"],
             )
 
-    return places.mapInArrow(run, "t binary, g bigint, c bigint, s bigint, n int, a int")
+    return places.mapInArrow(run, "t binary, g bigint, c bigint, d bigint, s bigint, n int, a int")
 
 
 def _marks(
     docs: DataFrame, rows: DataFrame, window: int, block: int, most: int, finer: tuple[int, ...]
 ) -> DataFrame:
     """Removed bytes of texts: ``DF[t, first, last]``, ``last`` being the one behind."""
-    codes = rows.groupBy("g").agg(
-        F.count("*").alias("rows"), (F.min("c") != F.max("c")).alias("mixed")
-    )
+    differ = (F.min("c") != F.max("c")) | (F.min("d") != F.max("d"))
+    codes = rows.groupBy("g").agg(F.count("*").alias("rows"), differ.alias("mixed"))
     codes = written(codes.where("rows > 1").drop("rows"), "codes")
     shared = written(rows.join(codes, "g"), "shared")
     end = F.col("s") + F.col("n") - 1 + window
     same = shared.where("NOT mixed").select("t", F.col("s").alias("first"), end.alias("last"))
 
     mixed = shared.where("mixed")
-    distinct = mixed.groupBy("g", "c").agg(
-        F.min(F.struct("t", "s", "n")).alias("one"), F.count("*").alias("copies")
+    distinct = written(
+        mixed.groupBy("g", "c", "d").agg(
+            F.min(F.struct("t", "s", "n")).alias("one"), F.count("*").alias("copies")
+        ),
+        "distinct",
+    )
+    # The sizes of codes are known before a segment is fetched: those above ``most`` get
+    # finer codes, the others go whole to as many tasks as their bytes ask for.
+    sizes = written(
+        distinct.groupBy("g").agg(F.sum(F.col("one.n") - 1 + window).alias("bytes")), "sizes"
     )
-    segments = _segments(docs, distinct.select("one.*", "g", "c", "copies"), window)
-    judged = written(_compared(segments, window, block, most), "judged")
-    runs = judged.where("NOT finer").select("g", "c", F.explode("runs").alias("run"))
-    other = mixed.join(runs, ["g", "c"]).select(
+    fits = F.col("bytes") <= most if finer else F.lit(True)
+    total = sizes.where(fits).agg(F.sum("bytes")).first()[0] or 0
+    some = distinct.join(sizes.where(fits).select("g"), "g", "left_semi")
+    segments = _segments(docs, some.select("one.*", "g", "c", "d", "copies"), window)
+    tasks = min(MAX_TASKS, 1 + total // (TASK_BLOCKS * block))
+    judged = written(_compared(segments, window, block, tasks), "judged")
+    runs = judged.select("g", "c", "d", F.explode("runs").alias("run"))
+    other = mixed.join(runs, ["g", "c", "d"]).select(
         "t", (F.col("s") + F.col("run.first")).alias("first"),
         (F.col("s") + F.col("run.last") + window).alias("last"),
     )
     marks = same.union(other)
-    large = judged.where("finer").select("g").distinct()
+    large = sizes.where(~fits).select("g")
     if finer and not large.isEmpty():
         again = written(_finer(docs, mixed.join(large, "g"), window, finer[0]), "finer")
         marks = marks.union(_marks(docs, again, window, block, most, finer[1:]))
@@ -271,7 +272,12 @@ def remove_repeats(docs: DataFrame, **settings: int) -> DataFrame:
 
 
 def repeat_digests(docs: DataFrame, **settings: int) -> DataFrame:
-    """``DF[doc_id, n_bytes, n_removed, n_spans, kept_sha256]``: what is left only as a digest."""
+    """``DF[doc_id, n_bytes, n_removed, n_spans, kept_sha256]``: what is left only as a digest.
+
+    One row per row; repeated rows are places of their own and all lose what they share.
+    A null text counts as empty, a null id stays null, an empty table gives no rows, other
+    columns are not read. A long text is alone in its batch; its bytes are held whole.
+    """
     return _removed(docs, False, settings)
 
 
