@@ -21,7 +21,7 @@ from basketloom.sources.durable import durable
 #: Products of the first layer, how many times as many are seen after each further
 #: one, and the products of a block.
 FIRST = 128
-GROWTH = 8
+GROWTH = 4
 BLOCK = 1024
 
 #: Users that meet a block of products in one place.
