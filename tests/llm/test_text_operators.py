@@ -379,6 +379,104 @@ def test_passages(spark):
     assert chaining.edit_distance([b"a", b"b", b"c"], [b"a", b"x", b"c", b"d"]) == 2
 
 
+@pytest.mark.parametrize("hot_rows", [substring_dedup.HOT_ROWS, 64])
+def test_seed_matches(spark, corpus, hot_rows):
+    """Chains without gaps against all pairs of equal seeds, packed and dealt out as rows."""
+    some = corpus.where("doc_id < 60")
+    texts_of = {i: t.encode() for i, t in texts(some).items()}
+    holders = {}
+    for doc in sorted(texts_of):
+        for seed, place in zip(*substring_dedup.seeds(texts_of[doc])):
+            holders.setdefault(int(seed), {}).setdefault(doc, int(place))
+    pairs = set()
+    for held in holders.values():
+        ids = list(held)
+        pairs |= {(d, s) for at, d in enumerate(ids) if at for s in (ids[0], ids[at - 1])}
+    found = substring_dedup.seed_chains(some, hot_rows).collect()
+    assert {(r.doc_id, r.source_id) for r in found} <= pairs
+    words = {i: t.lower().split() for i, t in texts_of.items()}
+    for r in found:
+        for place, other, n in zip(r.places, r.others, r.sizes):
+            assert words[r.doc_id][place : place + n] == words[r.source_id][other : other + n]
+    # Every equal stretch of 50 words is in a chain of some pair.
+    windows, covered = {}, set()
+    for r in found:
+        for place, n in zip(r.places, r.sizes):
+            covered |= {(r.doc_id, i) for i in range(place, place + n)}
+    for doc in sorted(words):
+        for i in range(len(words[doc]) - 49):
+            if windows.setdefault(tuple(words[doc][i : i + 50]), doc) != doc:
+                assert all((doc, k) in covered for k in range(i, i + 50))
+
+
+def test_hot_seeds_change_nothing(spark, monkeypatch):
+    rng = random.Random(6)
+    say = lambda n: [f"w{rng.randrange(4000)}" for _ in range(n)]
+    line = say(60)
+    rows = [(i * 3, " ".join(say(20) + line + say(i % 7))) for i in range(400)]
+    df = frame(spark, rows).repartition(5)
+    plain = sorted(map(tuple, substring_dedup.seed_chains(df).collect()))
+    monkeypatch.setattr(substring_dedup, "SAMPLE", 4)
+    assert len(substring_dedup.hot_seeds(df, 200)) >= 50
+    assert sorted(map(tuple, substring_dedup.seed_chains(df, 200).collect())) == plain
+
+
+def test_passages_in_parts_of_earlier_documents(spark):
+    """Halves of a passage in small ids hide no copy of the whole; ids on several rows count."""
+    rng = random.Random(5)
+    say = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    shared = say(90)
+    rows = [(1, " ".join(say(30) + shared[:45])), (2, " ".join(shared[45:] + say(30))),
+            (3, " ".join(say(20) + shared + say(20))), (4, " ".join(shared + say(9)))]
+    found = {(r.doc_id, r.source_id): r for r in substring_dedup.repeated_passages(frame(spark, rows)).collect()}
+    assert set(found) == {(4, 3)}
+    assert (found[4, 3].start_word, found[4, 3].end_word, found[4, 3].source_start) == (0, 90, 20)
+    rows = [(7, " ".join(shared)), (8, " ".join(say(80))), (8, " ".join(say(5) + shared)), (9, None)]
+    found = substring_dedup.repeated_passages(frame(spark, rows + rows)).collect()
+    assert [(r.doc_id, r.source_id, r.start_word, r.end_word) for r in found] == [(8, 7, 5, 95)]
+
+
+@pytest.mark.parametrize("length", [60, 100])
+def test_recall_of_changed_passages(spark, length):
+    rng = random.Random(length)
+    say = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    rows = []
+    for i in range(300):
+        share = (0.8, 0.85, 0.9)[i % 3]
+        passage = say(length)
+        other = list(passage)
+        for at in rng.sample(range(length), round((1 - share) * length)):
+            other[at] = say(1)[0]
+        rows += [(2 * i, " ".join(say(40) + passage + say(40))), (2 * i + 1, " ".join(say(30) + other + say(30)))]
+    hits = {r.doc_id for r in substring_dedup.repeated_passages(frame(spark, rows)).collect() if r.source_id == r.doc_id - 1}
+    for k, share in enumerate((0.8, 0.85, 0.9)):
+        found = sum(2 * i + 1 in hits for i in range(k, 300, 3))
+        print(f"{length} words, similarity {share}: {found} of 100")
+        assert found >= 90
+
+
+def test_alignment():
+    """Distances and ends within their bands against the whole table."""
+
+    def table(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            corner, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                corner, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, corner + (x != y))
+        return row[-1]
+
+    rng = random.Random(1)
+    for _ in range(300):
+        a, b = ([b"%d" % rng.randrange(4) for _ in range(rng.randrange(14))] for _ in range(2))
+        exact = table(a, b)
+        assert chaining.edit_distance(a, b) == exact
+        assert exact <= chaining.edit_distance(a, b, 3) <= max(len(a), len(b))
+        edits, other = chaining.stretch(a, b)
+        for i, (n, j) in enumerate(zip(edits, other)):
+            assert n == table(a[:i], b[:j]) == min(table(a[:i], b[:k]) for k in range(max(0, i - 10), min(len(b), i + 10) + 1))
+
+
 def test_licences(corpus):
     lines = ["All rights reserved.", "Released under the MIT License.", "Some ordinary words here, nothing more."]
     lines.append("Before it " + " ".join(f"plain{i}" for i in range(60)) + " licensed under the Apache License, Version 2.0. after")
