@@ -32,6 +32,13 @@ SIMILARITY = 0.8
 #: Seeds of a chain, and words from its first to its last, to be aligned.
 MIN_SEEDS = 2
 MIN_SPAN = 8
+#: Words of a window that is a seed too if it repeats itself: so many of its seeds are the
+#: same as one of the PERIODS before.
+WIDE_WORDS = 50
+PERIODS = 8
+WIDE_REPEATS = 12
+#: Added to the place of such a window, to tell it from a seed.
+WIDE = 1 << 40
 #: Bytes of text whose seeds a bucket of hashes holds, and matches a bucket of documents.
 BUCKET_BYTES = 1 << 24
 #: Fewest buckets, a power of two.
@@ -45,7 +52,6 @@ HOT_SEEDS = 1 << 16
 REQUESTS = 256
 
 CHAIN = "doc_id bigint, source_id bigint, places array<int>, others array<int>, sizes array<int>"
-MATCH = "doc_id bigint, source_id bigint, place int, other int"
 PACKED = "bucket int, n int, packed binary"
 PASSAGES = (
     "doc_id bigint, start_word int, end_word int, source_id bigint, source_start int,"
@@ -58,12 +64,12 @@ def seeds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
     The second and further occurrences of a seed are there once more, under a hash
     of the seed and their number: so they also meet those of the other text, and
-    not its first occurrence only.
+    not its first occurrence only. Windows of :func:`_wide_seeds` follow.
     """
     words = text.lower().split()
     n = len(words) - SEED_WORDS + 1
     if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     codes = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
     # Two hashes of a word, as one of 32 bits is the same for some words.
     codes |= np.fromiter(map(zlib.adler32, words), np.uint64, len(words)) << np.uint64(32)
@@ -78,7 +84,39 @@ def seeds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     again = order[nth > 0]
     numbered = (hashes[again] ^ nth[nth > 0].astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
     numbered ^= numbered >> np.uint64(32)
-    return np.concatenate([hashes, numbered]), np.concatenate([at, again]).astype(np.int32)
+    wide, start = _wide_seeds(hashes)
+    return np.concatenate([hashes, numbered, wide]), np.concatenate([at, again, start + WIDE])
+
+
+def _wide_seeds(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places of the windows of ``WIDE_WORDS`` words that repeat themselves.
+
+    The seeds of such a stretch lead to any document with a stretch like it, and not
+    to the one with the same words before and behind; a hash of the window does.
+    Whether a window repeats itself is a matter of its words alone.
+    """
+    n, inside = len(hashes), WIDE_WORDS - SEED_WORDS + 1
+    if n < inside:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    periodic = np.zeros(n + 1, np.int64)
+    for period in range(1, PERIODS + 1):
+        periodic[period + 1 :] |= hashes[period:] == hashes[:-period]
+    total = np.cumsum(periodic)
+    start = np.arange(n - inside + 1)
+    start = start[total[start + inside] - total[start + PERIODS] >= WIDE_REPEATS]
+    wide = np.zeros(len(start), np.uint64)
+    for i in range(0, inside, SEED_WORDS):
+        wide = (wide ^ hashes[start + i]) * np.uint64(0xD6E8FEB86659FD93)
+        wide ^= wide >> np.uint64(32)
+    # Of one window that stands in many places, those that together hold all its words.
+    order = np.argsort(wide, kind="stable")
+    kept = np.ones(len(order), bool)
+    cell = start[order] // (WIDE_WORDS // 2)
+    same = wide[order][1:] == wide[order][:-1]
+    kept[1:] = ~same | (cell[1:] != cell[:-1])
+    kept[:-1] |= ~same
+    order = order[kept]
+    return wide[order], start[order]
 
 
 def _planes(column: np.ndarray) -> bytes:
@@ -147,7 +185,7 @@ def _seeds_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return (
         np.concatenate([np.zeros(0, np.uint64), *(found[i][0] for i in order)]),
         np.repeat(ids[order], [len(found[i][0]) for i in order]),
-        np.concatenate([np.zeros(0, np.int32), *(found[i][1] for i in order)]),
+        np.concatenate([np.zeros(0, np.int64), *(found[i][1] for i in order)]),
     )
 
 
@@ -195,11 +233,26 @@ def _linked(seed: np.ndarray, doc: np.ndarray, place: np.ndarray) -> list[np.nda
     two = linked & (before != first)
     rows = np.concatenate([at[linked], at[two]])
     source = np.concatenate([first[linked], before[two]])
-    return [doc[rows], doc[source], place[rows].astype(np.int64), place[source].astype(np.int64)]
+    return [doc[rows], doc[source], place[rows], place[source]]
+
+
+def _as_seeds(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Matches of windows as those of their seeds, each once."""
+    wide = columns[2] >= WIDE
+    if not wide.any():
+        return columns
+    doc, source, place, other = (np.repeat(c[wide], WIDE_WORDS - SEED_WORDS + 1) for c in columns)
+    step = np.tile(np.arange(WIDE_WORDS - SEED_WORDS + 1), int(wide.sum()))
+    place, other = place - WIDE + step, other - WIDE + step
+    order = np.lexsort((other, place, source, doc))
+    some = [c[order] for c in (doc, source, place, other)]
+    new = np.append(True, np.any([c[1:] != c[:-1] for c in some], axis=0))
+    return [np.concatenate([c[~wide], x[new]]) for c, x in zip(columns, some)]
 
 
 def _by_document(columns: list[np.ndarray], buckets: int) -> pa.RecordBatch:
     """Matches packed by bucket of their document."""
+    columns = _as_seeds(columns)
     order = np.lexsort((columns[2], columns[1], columns[0]))
     columns = [c[order] for c in columns]
     mixed = columns[0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -221,7 +274,7 @@ def _hot_matches(docs: DataFrame, hot: np.ndarray, hot_rows: int) -> DataFrame:
                 ["seed", "doc_id", "place"],
             )
 
-    rows = written(docs.mapInArrow(run, "seed bigint, doc_id bigint, place int"), "hot-seeds")
+    rows = written(docs.mapInArrow(run, "seed bigint, doc_id bigint, place bigint"), "hot-seeds")
     low, high, n = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
     ranges = max(1, n // hot_rows)
     width = max(1, -(-((high or 0) - (low or 0) + 1) // ranges))
@@ -320,7 +373,7 @@ def seed_chains(docs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
                 cold = ~_is_hot(seed, hot)
                 seed, doc, place = seed[cold], doc[cold], place[cold]
             bucket = (seed >> np.uint64(64 - bits)).astype(np.int64)
-            yield _dealt(bucket, [doc, place.astype(np.int64), seed.view(np.int64)])
+            yield _dealt(bucket, [doc, place, seed.view(np.int64)])
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, place, seed in _buckets(batches, 3):
@@ -376,21 +429,22 @@ def _stretches(docs: DataFrame, requests: DataFrame) -> DataFrame:
 
 
 def _uncovered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Passages of each document whose words are not all in one of a smaller source."""
+    """Passages of each document whose words are not all in another of that or a smaller source."""
     for batch in batches:
         column = batch.column("passages")
         kept = [column.flatten().slice(0, 0)]
         for i in range(batch.num_rows):
             rows = column.slice(i, 1).flatten()
-            source, start, end = (
-                rows.field(c).to_numpy() for c in ("source_id", "start_word", "end_word")
+            source, start, end, place = (
+                rows.field(c).to_numpy()
+                for c in ("source_id", "start_word", "end_word", "source_start")
             )
             # Those that cover a passage come before it, of equal ones the smallest source.
-            order = np.lexsort((source, -end, start))
+            order = np.lexsort((place, source, -end, start))
             out = np.ones(len(rows), bool)
             for at, r in enumerate(order.tolist()):
                 before = order[:at]
-                out[r] = not ((end[before] >= end[r]) & (source[before] < source[r])).any()
+                out[r] = not ((end[before] >= end[r]) & (source[before] <= source[r])).any()
             kept.append(rows.filter(pa.array(out)))
         yield pa.RecordBatch.from_struct_array(pa.concat_arrays(kept))
 
@@ -403,8 +457,8 @@ def repeated_passages(
     ``DF[doc_id, start_word, end_word, source_id, source_start, source_end,
     similarity]``: words, split at ASCII white space and compared without upper
     case, and 1 less the edits by words of the longer side. ``source_id`` is
-    smaller than ``doc_id``; a passage whose words are all in one of a smaller source
-    is left out. Copies have one passage, all their words. Rows without an id take no
+    smaller than ``doc_id``; a passage whose words are all in another of the same or a
+    smaller source is left out. Copies have one passage, all their words. Rows without an id take no
     part, nor do null or empty texts; equal rows are one. Of an id with several texts
     each is a document, the smaller text the earlier one: only there ``source_id`` may
     be ``doc_id``. Of alignments that are equally long the most alike is taken. Texts of

@@ -386,8 +386,8 @@ def test_seed_matches(spark, corpus, hot_rows):
     texts_of = {i: t.encode() for i, t in texts(some).items()}
     holders = {}
     for doc in sorted(texts_of):
-        for seed, place in zip(*substring_dedup.seeds(texts_of[doc])):
-            holders.setdefault(int(seed), {}).setdefault(doc, int(place))
+        for seed, place in zip(*(c.tolist() for c in substring_dedup.seeds(texts_of[doc]))):
+            holders.setdefault(seed, {}).setdefault(doc, place)
     pairs = set()
     for held in holders.values():
         ids = list(held)
@@ -436,6 +436,25 @@ def test_passages_in_parts_of_earlier_documents(spark):
     assert [(r.doc_id, r.source_id, r.start_word, r.end_word) for r in found] == [(8, 7, 5, 95)]
 
 
+def test_copied_words_are_in_passages(spark, corpus):
+    """All words of 50 equal ones in a row that an earlier document has, also of one word only."""
+    rng = random.Random(9)
+    say = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    rows = [(1, " ".join(say(9) + ["and"] * 90)), (2, " ".join(["and"] * 44 + ["the"] * 60)),
+            (3, " ".join(say(5) + ["and"] * 30 + ["the"] * 40 + say(9))), (4, " ".join(["and"] * 130))]
+    for df in (frame(spark, rows), corpus):
+        words = {i: t.encode().lower().split() for i, t in texts(df).items()}
+        inside = {i: set() for i in words}
+        for r in substring_dedup.repeated_passages(df).collect():
+            assert r.source_id < r.doc_id and r.similarity >= 0.8
+            inside[r.doc_id] |= set(range(r.start_word, r.end_word))
+        first = {}
+        for doc in sorted(words):
+            for i in range(len(words[doc]) - 49):
+                if first.setdefault(tuple(words[doc][i : i + 50]), doc) != doc:
+                    assert inside[doc] >= set(range(i, i + 50))
+
+
 @pytest.mark.parametrize("length", [60, 100])
 def test_recall_of_changed_passages(spark, length):
     rng = random.Random(length)
