@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketloom.llm.common import chunks, filtered, utf8
+from basketloom.llm.common import chunks, filtered, utf8, written
 
 Q = 12
 WINDOW = 100
@@ -31,6 +31,8 @@ BLOCK_BYTES = 1 << 19
 #: Bytes of text searched at a time, and bands aligned at a time.
 TEXT_BYTES = 1 << 20
 ALIGNED = 2048
+#: Pairs of equal q-grams of a text and of windows that are counted at a time.
+EXPANDED = 1 << 20
 # Added to places so that none is negative; a multiple of BAND.
 _OFFSET = (WINDOW // BAND + 1) * BAND
 
@@ -67,13 +69,13 @@ class Window:
 
 
 def windows(items: list[tuple[int, str]]) -> list[Window]:
-    """The windows of benchmark items; items shorter than a q-gram have none."""
+    """The different windows of each benchmark item; items shorter than a q-gram have none."""
     out = []
     for item_id, text in items:
         raw = (text or "").encode().translate(_FOLD).strip()
         last = max(0, len(raw) - WINDOW)
-        for start in sorted({*range(0, last, STEP), last}):
-            part = raw[start : start + WINDOW]
+        parts = [raw[start : start + WINDOW] for start in sorted({*range(0, last, STEP), last})]
+        for part in dict.fromkeys(parts):
             if len(part) < Q:
                 continue
             edits = min(int(EDITS * len(part)), (len(part) - Q) // Q, BAND - 1)
@@ -107,17 +109,34 @@ class Searcher:
         found = codes[at]
         left = np.searchsorted(self.codes, found, "left")
         times = np.searchsorted(self.codes, found, "right") - left
-        total = int(times.sum())
-        if not total:
+        ends = np.cumsum(times)
+        if not len(ends) or not ends[-1]:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # Repeated characters meet all places of an item's: so many pairs at a time.
+        cuts = np.unique(np.searchsorted(ends, np.arange(0, int(ends[-1]), EXPANDED), "left"))
+        counted = [
+            self._counted(at[a:b], left[a:b], times[a:b])
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(at)])
+        ]
+        keys = np.concatenate([k for k, _ in counted])
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        counts = np.add.reduceat(np.concatenate([c for _, c in counted])[order], first)
+        keys = keys[first]
+        keys = keys[counts >= self.shared[keys >> 36]]
+        return keys >> 36, (keys & ((1 << 36) - 1)) - _OFFSET // BAND
+
+    def _counted(
+        self, at: np.ndarray, left: np.ndarray, times: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Windows and bands, as one key, and their q-grams at some places of a text."""
+        total = int(times.sum())
         ends = np.cumsum(times)
         nth = np.arange(total) - np.repeat(ends - times, times) + np.repeat(left, times)
         start = np.repeat(at, times) - self.place[nth] + _OFFSET
-        band = start // BAND
-        keys = (self.window[nth].astype(np.int64) << 36) + band
-        keys, counts = np.unique(np.concatenate([keys, keys - 1]), return_counts=True)
-        keys = keys[counts >= self.shared[keys >> 36]]
-        return keys >> 36, (keys & ((1 << 36) - 1)) - _OFFSET // BAND
+        keys = (self.window[nth].astype(np.int64) << 36) + start // BAND
+        return np.unique(np.concatenate([keys, keys - 1]), return_counts=True)
 
     def search(self, raw: bytes) -> Iterator[tuple[Window, int, int, int]]:
         """(window, start, end, edits) of the best alignment in each band within the budget."""
@@ -208,7 +227,9 @@ def contamination(
     to the texts in blocks of a checked size, each a narrow pass without a shuffle.
     Null or empty texts and items match nothing, nor do items shorter than a
     q-gram; a null doc_id stays null, an item without an id is left out. Repeated
-    rows are reported each. Other columns are not read.
+    rows are reported each. Texts of any length are read whole, in memory that grows with
+    the text and not with its repeats. Of equally good alignments the first one in a band
+    counts. Empty tables give no rows. Other columns are not read.
     """
 
     def scan(items: list[tuple[int, str]]) -> DataFrame:
@@ -237,9 +258,14 @@ def contamination(
         return docs.select("doc_id", "text").mapInArrow(run, MATCHES)
 
     found = None
-    for items in _blocks(benchmark, block_bytes):
-        some = scan(items)
-        found = some if found is None else found.union(some)
+    for number, items in enumerate(_blocks(benchmark, block_bytes)):
+        if number == 0:
+            found = scan(items)
+            continue
+        # Of several blocks each is searched and let go before the next one is fetched.
+        if number == 1:
+            found = written(found, "contamination")
+        found = found.union(written(scan(items), "contamination"))
     return found
 
 
@@ -253,8 +279,14 @@ _ARROW = pa.schema(
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """``docs`` without the documents :func:`contamination` finds an item in; all columns."""
-    for items in _blocks(benchmark, block_bytes):
+    """``docs`` without the documents :func:`contamination` finds an item in; all columns.
+
+    Empty tables, null or empty texts and null ids are handled as there: such rows stay.
+    Of several blocks of the benchmark each is one pass over what the last one kept.
+    """
+    for number, items in enumerate(_blocks(benchmark, block_bytes)):
+        if number:
+            docs = written(docs, "clean")
 
         def clean(batch: pa.RecordBatch, items: list = items) -> list[bool]:
             searcher = _searcher(items)

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import string
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -362,6 +363,60 @@ def test_benchmark_quotes_from_every_offset():
     assert {at for at, _ in decontaminate.searched([*texts, other.encode()], searcher)} == set(range(len(texts)))
 
 
+def test_benchmark_windows_by_brute_force():
+    """Texts reported are those with a window within its edits, by the whole table."""
+    rng = random.Random(11)
+    say = lambda n: "".join(rng.choice("abc de") for _ in range(n))
+    items = [(i, "q" + say(110) + "q") for i in range(3)] + [(3, "y" + say(60) + "y")]
+    texts_of = []
+    for i in range(60):
+        quote = list(items[i % 4][1])
+        for at in rng.sample(range(len(quote)), i % 11):
+            quote[at] = rng.choice(["", "x", "yy"])
+        texts_of.append((say(30) + "".join(quote) + say(20)).encode())
+
+    def least(pattern, text):
+        row = [0] * (len(text) + 1)
+        for i, x in enumerate(pattern, 1):
+            corner, row[0] = row[0], i
+            for j, y in enumerate(text, 1):
+                corner, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, corner + (x != y))
+        return min(row)
+
+    searcher = decontaminate.Searcher(items)
+    expected = {(at, w.item_id) for at, t in enumerate(texts_of) for w in searcher.windows if least(w.text, t) <= w.edits}
+    assert set(decontaminate.searched(texts_of, searcher)) == expected and len(expected) > 20
+
+
+def test_benchmark_of_repeated_characters(spark, monkeypatch):
+    searcher = decontaminate.Searcher([(1, "-" * 200), (2, "=" * 40 + "-" * 160)])
+    assert len({w.text for w in searcher.windows if w.item_id == 1}) == 1
+    tracemalloc.start()
+    found = decontaminate.searched([b"-" * 300_000, b"a" * 300_000], searcher)
+    assert tracemalloc.get_traced_memory()[1] < 400 << 20
+    tracemalloc.stop()
+    assert {at for at, _ in found} == {0}
+    lows, highs = zip(*((low, high) for low, high, _, _ in found[0, 1]))
+    assert min(lows) == 0 and max(highs) == 300_000
+    text = b"-" * 3000 + b"=" * 50 + b"-" * 3000
+    whole = searcher.bands(text)
+    monkeypatch.setattr(decontaminate, "EXPANDED", 1000)
+    assert all((a == b).all() for a, b in zip(whole, searcher.bands(text)))
+
+
+def test_benchmark_in_several_blocks(spark, docs):
+    items = [(i, f"item {i} " + f"says {i * 7919} and {i * 104729} " * 6) for i in range(40)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    some = docs.union(frame(spark, [(40, "x " + items[5][1]), (41, items[30][1] + " y"), (42, "clean")]))
+    one = decontaminate.contamination(some, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in one} >= {(40, 5), (41, 30)}
+    many = decontaminate.contamination(some, bench, block_bytes=1000).collect()
+    assert sorted(map(str, many)) == sorted(map(str, one))
+    kept = decontaminate.drop_contaminated(some, bench, block_bytes=1000)
+    assert kept.columns == some.columns and kept.count() == some.count() - len({r.doc_id for r in one})
+    assert decontaminate.drop_contaminated(some.where("doc_id > 99"), bench).collect() == []
+
+
 def test_passages(spark):
     rng = random.Random(4)
     say = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
