@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from basketloom.sources.durable import durable
 
+#: Rows of a group that one task may sort, and rows a task is dealt.
+GROUP_ROWS = 100_000
+TASK_ROWS = 1_000_000
+
 
 def number_rows(
     df: DataFrame,
@@ -47,6 +51,50 @@ def number_rows(
     return out.drop(*names, "_before", "_total")
 
 
+def task_count(df: DataFrame) -> int:
+    """Tasks that ``df``, a scan, is dealt to so that none gets more than its rows."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))
+
+
+def large_groups(df: DataFrame, keys: Sequence[str], most: int | None = None) -> DataFrame | None:
+    """``DF[keys]`` of the groups of more than ``most`` rows; ``None`` where there are none.
+
+    They are at most one in ``most`` rows, few enough to be sent to all tasks.
+    """
+    most = GROUP_ROWS if most is None else most
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    large = durable(sizes.where(F.col("_rows") > most).select(*keys), "large")
+    return None if large.isEmpty() else F.broadcast(large)
+
+
+def number_groups(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    buckets: Sequence[Column],
+    number: str,
+    total: str | None = None,
+) -> DataFrame:
+    """:func:`number_rows` where most groups are small: those are shuffled once, and whole.
+
+    Only groups of more than ``GROUP_ROWS`` rows are cut into buckets. ``df`` is read
+    several times, so it should be a table. Rows with a null key or bucket are left out.
+    """
+    large = large_groups(df, keys)
+    group = Window.partitionBy(*keys)
+    usual = df if large is None else df.join(large, list(keys), "left_anti")
+    out = usual.dropna(subset=list(keys)).repartition(task_count(df), *keys)
+    out = out.withColumn(number, F.row_number().over(group.orderBy(*order_by)).cast("bigint"))
+    if total:
+        out = out.withColumn(total, F.count("*").over(group))
+    for bucket in buckets:
+        out = out.where(bucket.isNotNull())
+    if large is None:
+        return out
+    cut = df.join(large, list(keys), "left_semi")
+    return out.unionByName(number_rows(cut, keys, order_by, buckets, number, total))
+
+
 def dense_ids(df: DataFrame, column: str, buckets: int = 4096) -> DataFrame:
     """Map every value of an integer ``column`` to 0..n-1: ``DF[column, dense_id:int]``.
 

@@ -7,11 +7,18 @@ the result is written to a folder all executors share, and queries read that.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketloom.functions.numbering import number_rows
+from basketloom.functions.numbering import (
+    large_groups,
+    number_groups,
+    number_rows,
+    task_count,
+)
 from basketloom.sources.durable import durable
 from basketloom.sources.schemas import AISLES, DEPARTMENTS, ORDERS, PRODUCTS
 from basketloom.sources.tables import Tables, table_path, write_table
@@ -20,6 +27,8 @@ from basketloom.sources.tables import Tables, table_path, write_table
 # cut where the ordering column passes a multiple of the width.
 PRODUCT_BUCKET_BITS = 12
 EVENT_BUCKET_BITS = 17
+# Order numbers of a user that are looked at together, as a power of two.
+SPAN_BITS = 17
 
 
 def _read(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -46,29 +55,82 @@ def _eval_set() -> Column:
     )
 
 
+def _baskets(lines: DataFrame) -> DataFrame:
+    """One row per (order, product), at its first position."""
+    return lines.groupBy("order_id", "product_id").agg(F.min("_position").alias("_position"))
+
+
+def _placed(
+    lines: DataFrame, header: DataFrame, order_by: list[str], buckets: list[Column]
+) -> DataFrame:
+    """Baskets with their order, numbered within it.
+
+    The lines are shuffled once, by order: baskets, header and numbers need no other
+    place. Only orders of very many lines are spread by product and cut into buckets.
+    """
+    large = large_groups(lines, ["order_id"])
+    usual = lines if large is None else lines.join(large, "order_id", "left_anti")
+    usual = usual.dropna(subset=["order_id"]).repartition(task_count(lines), "order_id")
+    number = F.row_number().over(Window.partitionBy("order_id").orderBy(*order_by))
+    placed = (
+        _baskets(usual)
+        .join(header, "order_id")
+        .withColumn("add_to_cart_order", number.cast("bigint"))
+    )
+    if large is None:
+        return placed
+    cut = durable(_baskets(lines.join(large, "order_id", "left_semi")).join(header, "order_id"))
+    # A row without a bucket has no number, but may be the first purchase all the same.
+    numbered = number_rows(cut, ["order_id"], order_by, buckets, "add_to_cart_order")
+    left_out = cut.where(reduce(or_, [b.isNull() for b in buckets]))
+    return placed.unionByName(numbered).unionByName(left_out, allowMissingColumns=True)
+
+
+def _reordered(placed: DataFrame, orders: DataFrame, tasks: int) -> DataFrame:
+    """Add ``reordered``: 1 unless the order is the user's first with the product.
+
+    One shuffle by user, product and span, a stretch of ``2 ** SPAN_BITS`` order numbers,
+    so that a product bought in very many orders is not sorted in one task. Users that
+    have a second span also need to know in which one a product came first.
+    """
+    pair = ["user_id", "product_id"]
+    spans = placed.withColumn("_span", F.shiftright("order_number", SPAN_BITS))
+    busy = orders.where(F.col("order_number") >= 1 << SPAN_BITS).select("user_id").distinct()
+    first = None
+    if not busy.isEmpty():
+        spans = durable(spans, "placed")
+        first = (
+            spans.join(F.broadcast(busy), "user_id", "left_semi")
+            .groupBy(*pair)
+            .agg(F.min("_span").alias("_span"))
+            .withColumn("_first", F.lit(True))
+        )
+    earliest = Window.partitionBy(*pair, "_span").orderBy("order_number")
+    dealt = spans.repartition(tasks, *pair, "_span").withColumn(
+        "_again", F.row_number().over(earliest) > 1
+    )
+    again = F.col("_again") | F.col("product_id").isNull()
+    if first is not None:
+        dealt = dealt.join(first, [*pair, "_span"], "left")
+        again = again | ((F.col("_span") > 0) & F.col("_first").isNull())
+    return dealt.withColumn("reordered", again.cast("int"))
+
+
 def _store_lines(
-    baskets: DataFrame, orders: DataFrame, order_by: list[str], buckets: list[Column], path: str
+    lines: DataFrame, orders: DataFrame, order_by: list[str], buckets: list[Column], path: str
 ) -> DataFrame:
     """Distinct (order, product) baskets to the line table, one folder per evaluation set."""
     header = orders.select("order_id", "user_id", "order_number", "eval_set")
-    placed = durable(baskets.join(header, "order_id"))
-    pair = ["user_id", "product_id"]
-    first = placed.groupBy(*pair).agg(F.min("order_number").alias("order_number"))
-    # Joined on the order too, which spreads a product bought in very many orders.
-    lines = (
-        number_rows(placed, ["order_id"], order_by, buckets, "add_to_cart_order")
-        .join(first.withColumn("_first", F.lit(True)), [*pair, "order_number"], "left")
-        .select(
-            "order_id",
-            "product_id",
-            F.col("add_to_cart_order").cast("int"),
-            F.col("_first").isNull().cast("int").alias("reordered"),
-            "eval_set",
-        )
+    placed = _placed(lines, header, order_by, buckets)
+    rows = _reordered(placed, orders, task_count(lines))
+    for bucket in buckets:
+        rows = rows.where(bucket.isNotNull())
+    rows = rows.select(
+        "order_id", "product_id", F.col("add_to_cart_order").cast("int"), "reordered", "eval_set"
     )
     location = table_path(path, "order_products", "parquet")
-    lines.write.mode("overwrite").partitionBy("eval_set").parquet(location)
-    return baskets.sparkSession.read.schema(lines.schema).parquet(location)
+    rows.write.mode("overwrite").partitionBy("eval_set").parquet(location)
+    return lines.sparkSession.read.schema(rows.schema).parquet(location)
 
 
 def _ranked_names(part: DataFrame, column: str, id_name: str, name: str) -> DataFrame:
@@ -83,7 +145,7 @@ def _store(
     source: str,
     path: str,
     orders: DataFrame,
-    baskets: DataFrame,
+    lines: DataFrame,
     order_by: list[str],
     buckets: list[Column],
 ) -> Tables:
@@ -104,7 +166,7 @@ def _store(
     )
     products = _stored(_as(products, PRODUCTS), path, "products")
     orders = _stored(_as(orders, ORDERS), path, "orders")
-    lines = _store_lines(baskets, orders, order_by, buckets, path)
+    lines = _store_lines(lines, orders, order_by, buckets, path)
     prior, train = (
         lines.where(F.col("eval_set") == s).drop("eval_set") for s in ("prior", "train")
     )
@@ -116,7 +178,7 @@ def store_sales(spark: SparkSession, source: str, path: str) -> Tables:
     headers = _read(spark, source, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), "o_orderdate"
     )
-    orders = number_rows(
+    orders = number_groups(
         headers, ["user_id"], ["o_orderdate", "order_id"],
         [F.trunc("o_orderdate", "month")], "order_number", "_n",
     ).withColumns(
@@ -126,13 +188,13 @@ def store_sales(spark: SparkSession, source: str, path: str) -> Tables:
             "order_hour_of_day": F.hour("o_orderdate"),
         }
     )
-    baskets = (
-        _read(spark, source, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"))
-        .agg(F.min("l_linenumber").alias("_position"))
+    lines = _read(spark, source, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_linenumber").alias("_position"),
     )
     buckets = [F.col("_position"), F.shiftright("product_id", PRODUCT_BUCKET_BITS)]
-    return _store(spark, source, path, orders, baskets, ["_position", "product_id"], buckets)
+    return _store(spark, source, path, orders, lines, ["_position", "product_id"], buckets)
 
 
 def store_events(spark: SparkSession, source: str, path: str) -> Tables:
@@ -149,7 +211,7 @@ def store_events(spark: SparkSession, source: str, path: str) -> Tables:
     )
     order_id = F.col("user_id") * 100000 + F.unix_date("_day")
     days = events.groupBy("user_id", "_day").agg(F.min("ts").alias("_start"))
-    numbered = number_rows(
+    numbered = number_groups(
         durable(days, "days"), ["user_id"], ["_day"], [F.trunc("_day", "month")], "order_number", "_n"
     )
     orders = numbered.select(
@@ -160,11 +222,11 @@ def store_events(spark: SparkSession, source: str, path: str) -> Tables:
         (F.dayofweek("_day") - 1).alias("order_dow"),
         F.hour("_start").alias("order_hour_of_day"),
     ).withColumn("eval_set", _eval_set())
-    baskets = events.groupBy(order_id.alias("order_id"), "product_id").agg(
-        F.min("event_id").alias("_position")
+    lines = events.select(
+        order_id.alias("order_id"), "product_id", F.col("event_id").alias("_position")
     )
     buckets = [F.shiftright("_position", EVENT_BUCKET_BITS)]
-    return _store(spark, source, path, orders, baskets, ["_position"], buckets)
+    return _store(spark, source, path, orders, lines, ["_position"], buckets)
 
 
 ADAPTERS: dict[str, Callable[[SparkSession, str, str], Tables]] = {

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from basketloom.functions.numbering import dense_ids, number_rows, number_sorted
+from basketloom.functions import numbering
+from basketloom.functions.numbering import dense_ids, number_groups, number_rows, number_sorted
+from basketloom.sources.durable import durable
 from basketloom.functions.splits import split_name
 
 
@@ -101,3 +103,30 @@ def test_sorted_ranges_cut_the_hot_group(skewed):
 
 def test_numbers_of_nothing(skewed):
     assert number_sorted(skewed.limit(0), ["key"], ["position"], "n").collect() == []
+
+
+@pytest.mark.parametrize("most", [5, 100_000])
+def test_small_groups_are_numbered_whole_and_large_ones_in_buckets(spark, monkeypatch, most):
+    monkeypatch.setattr(numbering, "GROUP_ROWS", most)
+    i = F.col("id")
+    rows = spark.range(400).select(
+        F.when(i % 2 == 0, 0).when(i % 101 != 3, i % 90).alias("key"), (i * 7 % 400).alias("at")
+    )
+    rows = durable(rows.union(rows.limit(1).select("key", F.lit(None).cast("bigint"))))
+    got = number_groups(rows, ["key"], ["at"], [F.shiftright("at", 5)], "n", "size")
+    window = Window.partitionBy("key")
+    want = rows.withColumns(
+        {
+            "n": F.row_number().over(window.orderBy("at")).cast("bigint"),
+            "size": F.count("*").over(window),
+        }
+    ).dropna()
+    assert got.dtypes == want.dtypes
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_small_groups_take_one_shuffle_of_the_rows(spark):
+    rows = durable(spark.range(1000).select((F.col("id") % 300).alias("key"), F.col("id").alias("at")))
+    plan = number_groups(rows, ["key"], ["at"], [F.shiftright("at", 5)], "n", "size")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
