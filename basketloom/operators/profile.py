@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketloom.functions.numbering import task_count
 from basketloom.operators.history import history, orders_in, restrict, user_products
 from basketloom.sources.tables import Tables
 
@@ -55,7 +56,7 @@ def _order_habits(orders: DataFrame) -> DataFrame:
     )
 
 
-def _line_habits(pairs: DataFrame, products: DataFrame) -> DataFrame:
+def _line_habits(pairs: DataFrame, products: DataFrame, tasks: int) -> DataFrame:
     """Purchases, distinct products, reorder rate and favourite aisle and department.
 
     Every product belongs to one aisle row of its user, so the aisle rows also
@@ -65,16 +66,39 @@ def _line_habits(pairs: DataFrame, products: DataFrame) -> DataFrame:
     places = products.select(
         "product_id", "aisle_id", "department_id", F.lit(True).alias("_known")
     )
-    counts = favourite_counts(
-        pairs.join(places, "product_id", "left"),
-        ["aisle_id", "department_id"],
-        [
-            F.sum("purchases").alias("n"),
-            F.sum(F.when(F.col("_known"), F.col("purchases")).otherwise(0)).alias("n_known"),
-            F.count("product_id").alias("n_products"),
-            F.sum("reorders").alias("reorders"),
-            F.sum("marked").alias("marked"),
-        ],
+    known = F.when(F.col("_known"), F.col("purchases")).otherwise(0)
+    measures = [
+        F.col("purchases").alias("n"),
+        known.alias("n_known"),
+        F.col("product_id").isNotNull().cast("bigint").alias("n_products"),
+        "reorders",
+        "marked",
+    ]
+    # All that is asked of a user is counted where the user's pairs are, a bounded
+    # number of them in a task: a count per place before the shuffle combines little.
+    dealt = (
+        pairs.join(places, "product_id", "left")
+        .select("user_id", "aisle_id", "department_id", *measures)
+        .repartition(tasks, "user_id")
+    )
+    names = ["n", "n_known", "n_products", "reorders", "marked"]
+    sides = F.array(
+        *(
+            F.struct(
+                F.lit(no_aisle).alias("_no_aisle_id"),
+                F.lit(1 - no_aisle).alias("_no_department_id"),
+                F.when(F.lit(no_aisle) == 0, F.col("aisle_id")).alias("aisle_id"),
+                F.when(F.lit(no_aisle) == 1, F.col("department_id")).alias("department_id"),
+            )
+            for no_aisle in (0, 1)
+        )
+    )
+    keys = ["_no_aisle_id", "_no_department_id", "aisle_id", "department_id"]
+    counts = (
+        dealt.select("user_id", *names, F.explode(sides).alias("_side"))
+        .select("user_id", *names, *(F.col(f"_side.{k}").alias(k) for k in keys))
+        .groupBy("user_id", *keys)
+        .agg(*(F.sum(c).alias(c) for c in names))
     )
     once = F.col("_no_aisle_id") == 0
     total = {c: F.sum(F.when(once, F.col(c))) for c in ("n", "n_products", "reorders", "marked")}
@@ -102,7 +126,7 @@ def customer_profile(
     else:
         pairs = restrict(pairs, users)
     habits = _order_habits(orders).join(
-        _line_habits(pairs, tables.products), "user_id", "left"
+        _line_habits(pairs, tables.products, task_count(tables.prior)), "user_id", "left"
     )
     flat = habits.select(
         "*",
