@@ -63,7 +63,7 @@ def _baskets(lines: DataFrame) -> DataFrame:
 def _placed(
     lines: DataFrame, header: DataFrame, order_by: list[str], buckets: list[Column]
 ) -> DataFrame:
-    """Baskets with their order, numbered within it.
+    """Baskets with their order, numbered within it; of an order that repeats, the earlier first.
 
     The lines are shuffled once, by order: baskets, header and numbers need no other
     place. Only orders of very many lines are spread by product and cut into buckets.
@@ -71,6 +71,7 @@ def _placed(
     large = large_groups(lines, ["order_id"])
     usual = lines if large is None else lines.join(large, "order_id", "left_anti")
     usual = usual.dropna(subset=["order_id"]).repartition(task_count(lines), "order_id")
+    order_by = [*order_by, "order_number"]
     number = F.row_number().over(Window.partitionBy("order_id").orderBy(*order_by))
     placed = (
         _baskets(usual)
