@@ -277,3 +277,22 @@ def test_ideal_gain_matches_definition(spark):
     df = spark.createDataFrame([(list(range(10)), [0, 9])], "p array<bigint>, a array<bigint>")
     got = one(df, ndcg_at_k(F.col("p"), F.col("a")))[0]
     assert got == pytest.approx((1 + 1 / math.log2(11)) / (1 + 1 / math.log2(3)))
+
+
+def test_forest_partitions_follow_the_rows(spark, monkeypatch):
+    """More rows are dealt to more partitions, few to the fixed number."""
+    asked = []
+    frame = type(spark.range(0))
+    dealt = frame.repartition
+    monkeypatch.setattr(
+        frame, "repartition", lambda df, n, *by: asked.append(n) or dealt(df, n, *by)
+    )
+    i = F.col("id")
+    rows = spark.range(400).select(
+        (i % 20).alias("user_id"), i.alias("product_id"), (i % 2).cast("double").alias("label"),
+        *((i * n % 7).cast("double").alias(c) for n, c in enumerate(reorder.FEATURES, 1)),
+    )
+    reorder.fit_reorder(rows, trees=1, depth=1)
+    monkeypatch.setattr(reorder, "PARTITION_ROWS", 20)
+    reorder.fit_reorder(rows, trees=1, depth=1)
+    assert asked == [reorder.PARTITIONS, 20]
