@@ -33,7 +33,10 @@ def user_metrics(
     """
     if users not in ("common", "truth"):
         raise ValueError("users must be 'common' or 'truth'")
-    ranks = predicted.select(
+    # Users are few bytes, so AQE puts very many in a task; as rows their lists are k times that.
+    # Dealt by both columns: Spark leaves out a shuffle by the user alone that follows another.
+    parts = int(predicted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranks = predicted.repartition(parts, "user_id", "predicted").select(
         "user_id", F.posexplode_outer(F.slice("predicted", 1, k)).alias("_at", "product_id")
     ).select(
         "user_id",

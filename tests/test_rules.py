@@ -279,6 +279,17 @@ def test_ideal_gain_matches_definition(spark):
     assert got == pytest.approx((1 + 1 / math.log2(11)) / (1 + 1 / math.log2(3)))
 
 
+def test_lists_are_spread_before_they_become_rows(spark):
+    """All users in one task; their lists are judged in as many as a shuffle has."""
+    users = spark.range(200).select(F.col("id").alias("user_id")).distinct()
+    predicted = users.withColumn("predicted", F.array(*(F.lit(i).cast("bigint") for i in range(10))))
+    truth = users.select("user_id", (F.col("user_id") % 20).alias("product_id"))
+    metrics = rankeval.user_metrics(predicted, truth)
+    assert metrics.agg(F.sum("hits")).first()[0] == 100
+    plan = metrics._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("REPARTITION_BY_NUM")
+
+
 def test_forest_partitions_follow_the_rows(spark, monkeypatch):
     """More rows are dealt to more partitions, few to the fixed number."""
     asked = []
