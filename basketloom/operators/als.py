@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from basketloom.functions.numbering import dense_ids
 from basketloom.operators.rankeval import array_metrics, ranking_metrics
+from basketloom.operators.recommend import rows_as_lists
 from basketloom.operators.topk import search_best
 from basketloom.sources.durable import durable
 
@@ -133,13 +134,16 @@ def novel(model: ALSModel, interactions: DataFrame, k: int = 10) -> DataFrame:
 
 
 def recommended_lists(model: ALSModel, k: int = 10, users: DataFrame | None = None) -> DataFrame:
-    """The same as lists of ids: ``DF[user_id, predicted: array]``."""
-    if users is None:
-        lists = model.recommendForAllUsers(k)
-    else:
-        lists = model.recommendForUserSubset(users.select("user_id").distinct(), k)
-    ids = F.transform("recommendations", lambda item: item["product_id"].cast("bigint"))
-    return lists.select(F.col("user_id").cast("bigint").alias("user_id"), ids.alias("predicted"))
+    """The same as lists of ids: ``DF[user_id, predicted: array]``.
+
+    Given users are searched as all users are: the model's own scoring makes a row for
+    every product of a block, and as many tasks as blocks of users times those of products.
+    """
+    asking = model.userFactors
+    if users is not None:
+        known = users.select(F.col("user_id").alias("id"))
+        asking = durable(asking.join(known, "id", "left_semi"), "asking")
+    return rows_as_lists(search_best(asking, model.itemFactors, model.rank, k).rows)
 
 
 def tune_als(
@@ -160,16 +164,15 @@ def tune_als(
     ``array_metrics``); the column ``gap`` is the largest difference of any metric.
     """
     spark = interactions.sparkSession
-    users = truth.select("user_id").distinct()
+    users = durable(truth.select("user_id").distinct(), "users")
 
     def judge(setting: tuple[int, float]) -> tuple:
         rank, reg = setting
         model = fit_als(interactions, rank=rank, reg=reg)
-        lists = recommended_lists(model, k, users)
-        if not recounted:
-            return tuple(ranking_metrics(lists, truth, k).first())
-        lists = durable(lists, "lists")
+        lists = durable(recommended_lists(model, k, users), "lists")
         row = ranking_metrics(lists, truth, k).first()
+        if not recounted:
+            return tuple(row)
         again = array_metrics(lists, truth, k).first()
         return *row, max(
             0.0 if a is b is None else 1.0 if a is None or b is None else abs(float(a - b))

@@ -16,6 +16,9 @@ from basketloom.functions.ranking import (
     recall_at_k,
 )
 
+#: Lists that become rows in one task.
+LISTS = 20_000
+
 
 def user_metrics(
     predicted: DataFrame, truth: DataFrame, k: int = 10, users: str = "common"
@@ -29,13 +32,16 @@ def user_metrics(
 
     Both sides become rows and are counted together, first per (user, product),
     then per user. There is no join, each step combines before it shuffles, and
-    nobody's next order has to fit into one array.
+    nobody's next order has to fit into one array. The lists are counted first, so they
+    should be a table or cheap to make.
     """
     if users not in ("common", "truth"):
         raise ValueError("users must be 'common' or 'truth'")
     # Users are few bytes, so AQE puts very many in a task; as rows their lists are k times that.
+    # Their number tells the tasks: each writes a file per task of the next shuffle.
     # Dealt by both columns: Spark leaves out a shuffle by the user alone that follows another.
-    parts = int(predicted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cores = predicted.sparkSession.sparkContext.defaultParallelism
+    parts = max(cores, -(-predicted.count() // LISTS))
     ranks = predicted.repartition(parts, "user_id", "predicted").select(
         "user_id", F.posexplode_outer(F.slice("predicted", 1, k)).alias("_at", "product_id")
     ).select(

@@ -73,25 +73,42 @@ def search_best(
     ``without`` (``DF[user_id, product_id]``) are left out, so that a list is filled
     with others. ``scored`` of the result counts the products met, of all ``pairs``.
 
-    Users are dealt into groups and products into blocks, and the two meet by an equal
+    The ``first`` longest products are sent to all users where they are. From then on
+    users are dealt into groups and products into blocks, and the two meet by an equal
     key of both; scores below a user's k-th so far go no further. There are as many
     rounds as powers of ``GROWTH`` between ``first`` and the number of products, each
-    written to the shared folder. One number per block, its longest vector, is what all
-    tasks get; a few sums per round come back to the driver.
+    written to the shared folder. Besides the first layer one number per block, its longest
+    vector, is what all tasks get; a few sums per round come back to the driver.
     """
     u = _vectors(users, "user_id", "u", rank)
-    p = number_sorted(
-        _vectors(products, "product_id", "p", rank), [], [F.desc("p_length"), "product_id"], "place"
-    )
-    p = durable(p.withColumn("block", F.floor((F.col("place") - 1) / block)), "products-by-length")
+    p = _vectors(products, "product_id", "p", rank)
     n_users, n_products = u.count(), p.count()
+    if n_products > first:
+        placed = number_sorted(p, [], [F.desc("p_length"), "product_id"], "place")
+        p = durable(
+            placed.withColumn("block", F.floor((F.col("place") - 1) / block)), "products-by-length"
+        )
     groups = max(1, -(-n_users // group))
     spread = F.pmod(F.xxhash64("user_id"), F.lit(groups)).cast("int")
-    u = u.withColumn("group", spread)
     score = reduce(add, (F.col(f"u{i}") * F.col(f"p{i}") for i in range(rank)))
-    schema = "user_id bigint, product_id bigint, score double, rank int"
-    best = u.sparkSession.createDataFrame([], schema)
-    scored, start, end = 0, 0, min(first, n_products)
+    left_out = None if without is None else without.select("user_id", "product_id")
+
+    def scores(met: DataFrame, *columns: str) -> DataFrame:
+        return met.select("user_id", "product_id", score.alias("score"), *columns)
+
+    def allowed(rows: DataFrame) -> DataFrame:
+        if left_out is None:
+            return rows
+        return rows.join(left_out, ["user_id", "product_id"], "left_anti")
+
+    # Every user meets the first layer whole, and it is at most ``first`` rows.
+    start, end = 0, min(first, n_products)
+    longest = p.where(F.col("place") <= end) if n_products > first else p
+    met = scores(u.crossJoin(F.broadcast(longest)))
+    best = durable(_first_k(allowed(met), k), "best")
+    scored = n_users * end
+    start, end = end, min(end * GROWTH, n_products)
+    u = u.withColumn("group", spread)
     while start < end:
         layer = p.where(F.col("place").between(start + 1, end))
         blocks = layer.groupBy("block").agg(
@@ -109,13 +126,11 @@ def search_best(
         cells = active.withColumn("bounds", bounds.scalar()).withColumn("cell", F.explode(needed))
         cells = cells.withColumn("block", F.col("cell.block"))
         met = cells.drop("bounds", "cell").join(_copies(layer, groups), ["block", "group"])
-        likely = met.select("user_id", "product_id", score.alias("score"), "least").where(
-            F.col("least").isNull() | (F.col("score") >= F.col("least"))
-        ).drop("least")
-        if without is not None:
-            likely = likely.join(
-                without.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti"
-            )
+        likely = allowed(
+            scores(met, "least").where(
+                F.col("least").isNull() | (F.col("score") >= F.col("least"))
+            ).drop("least")
+        )
         met_now = cells.agg(F.sum("cell.n")).first()[0]
         if not met_now:
             break

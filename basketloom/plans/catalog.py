@@ -444,7 +444,12 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _als_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return als.recommended_lists(_als(spark, sf_dir), 10, _labelled(spark, sf_dir))
+    def make() -> DataFrame:
+        return durable(
+            als.recommended_lists(_als(spark, sf_dir), 10, _labelled(spark, sf_dir)), "lists"
+        )
+
+    return _once(spark, sf_dir, "als lists", make)
 
 
 def _model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -597,7 +602,7 @@ def _metrics_recounted(spark: SparkSession, sf_dir: str) -> DataFrame:
     truth = _truth(spark, sf_dir)
     lists_of = {
         "popularity": durable(_popular(event_tables(spark, sf_dir)), "lists"),
-        "als": durable(_als_lists(spark, sf_dir), "lists"),
+        "als": _als_lists(spark, sf_dir),
     }
     rows = [
         rankeval.metric_gap(

@@ -258,6 +258,38 @@ def test_tuning_recounts_its_lists(spark, bought):
     assert len(rows) == 2 and all(r.gap < 1e-12 and r.n_users > 10 for r in rows)
 
 
+def test_lists_of_given_users_are_searched(spark, model, bought):
+    """The lists of the model's own scoring, without a product of blocks of both sides."""
+    some = spark.createDataFrame([(u,) for u in (*range(0, 60, 2), 4, 999, None)], "user_id bigint")
+    lists = als.recommended_lists(model, 5, some)
+    got = {r.user_id: r.predicted for r in lists.collect()}
+    known = {r.id for r in model.userFactors.collect()}
+    assert set(got) == {u for u in range(0, 60, 2) if u in known}
+    own = als.recommend(model, 5, some)
+    rows = lists.select("user_id", F.posexplode("predicted").alias("at", "product_id"))
+    ranked = rows.withColumn("rank", F.col("at") + 1).join(
+        als.recommend(model, 40, some).select("user_id", "product_id", "score"),
+        ["user_id", "product_id"],
+    )
+    gaps = facts.list_gaps(ranked, own).collect()
+    assert len(gaps) == len(got)
+    assert all(r.n == r.n_other == 5 and r.n_different == 0 for r in gaps)
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_equal_scores_are_listed_by_id(spark):
+    """Also where all products are one layer, which is not numbered first."""
+    u, p = (
+        spark.createDataFrame([(i, [1.0, 1.0]) for i in ids], FACTORS)
+        for ids in (range(3), range(30, 0, -1))
+    )
+    rows = topk.search_best(u, p, 2, 4).rows.collect()
+    assert sorted((r.user_id, r["rank"], r.product_id) for r in rows) == [
+        (i, j, j) for i in range(3) for j in range(1, 5)
+    ]
+
+
 def test_a_recommender_keeps_its_ids(spark, bought, tmp_path):
     big = 1 << 33
     wide = bought.withColumns({c: F.col(c) * 3 + big for c in ("user_id", "product_id")})

@@ -290,6 +290,27 @@ def test_lists_are_spread_before_they_become_rows(spark):
     assert plan.index("Generate") < plan.index("REPARTITION_BY_NUM")
 
 
+def test_tasks_of_lists_follow_their_number(spark, monkeypatch):
+    """Few lists are not dealt to as many tasks as a shuffle may have."""
+    predicted = spark.range(200).select(
+        F.col("id").alias("user_id"), F.array(F.lit(1).cast("bigint")).alias("predicted")
+    )
+    truth = predicted.select("user_id", F.lit(1).cast("bigint").alias("product_id"))
+    cores = spark.sparkContext.defaultParallelism
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "150")
+        for most, tasks in ((20_000, cores), (2, 100)):
+            monkeypatch.setattr(rankeval, "LISTS", most)
+            metrics = rankeval.user_metrics(predicted, truth)
+            plan = metrics._jdf.queryExecution().executedPlan().toString()
+            line = next(x for x in plan.splitlines() if "REPARTITION_BY_NUM" in x)
+            assert f", {tasks})" in line
+            assert metrics.agg(F.sum("hits")).first()[0] == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+
+
 def test_forest_partitions_follow_the_rows(spark, monkeypatch):
     """More rows are dealt to more partitions, few to the fixed number."""
     asked = []
