@@ -151,7 +151,7 @@ def _run(spark: SparkSession, source: str, target: str, fmt: str, config: Config
     popular = popularity_recommendations(
         cohort_counts, truth.select("user_id").distinct(), config.k
     )
-    listed = rows_as_lists(recommended)
+    listed = durable(rows_as_lists(recommended), "listed")
     write_table(
         compare_models(
             {
@@ -182,8 +182,9 @@ def _run(spark: SparkSession, source: str, target: str, fmt: str, config: Config
         dataset.where(F.col("split") == "train"), config.trees, config.depth, config.seed
     )
     save_model(forest, f"{target}/models/reorder")
+    judged = dataset.where(F.col("split") != "train")
     scored = durable(
-        reorder.score_reorder(forest, dataset).select("split", "label", "probability"), "scored"
+        reorder.score_reorder(forest, judged).select("split", "label", "probability"), "scored"
     )
     sweep = durable(
         classeval.threshold_sweep(scored.where(F.col("split") == "validation")), "sweep"

@@ -235,6 +235,43 @@ def test_results_are_replaced_together(spark, tmp_path):
     assert files_in(new) == [] and files_in(target) == ["a", "b", "kept", "run-1"]
 
 
+def made_tables(spark, n_users=60):
+    """Four orders of each user, the last one the next order; three of ten products in each."""
+    orders = [(4 * u + i, u, "train" if i == 4 else "prior", i, u % 7, u % 24)
+              for u in range(n_users) for i in range(1, 5)]
+    lines = [(o, (u * i + j) % 10, j + 1, int(i > 1), split)
+             for o, u, split, i, *_ in orders for j in range(3)]
+    names = ("orders", "order_products__prior", "order_products__train", "products", "aisles", "departments")
+    rows = (
+        orders, [r[:4] for r in lines if r[4] == "prior"], [r[:4] for r in lines if r[4] == "train"],
+        [(p, f"p{p}", 1, 1) for p in range(10)], [(1, "a")], [(1, "d")],
+    )
+    return src.Tables(*(spark.createDataFrame(r, src.TABLES[n]) for n, r in zip(names, rows)))
+
+
+def test_a_run_scores_what_it_judges_and_predicts(spark, tmp_path, monkeypatch):
+    """Validation and test rows once, then every pair; training rows are judged by no result."""
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    tables = made_tables(spark)
+    src.write_tables(tables, source, "csv")
+    scored, score = [], reorder.score_reorder
+
+    def recorded(model, df):
+        scored.append((sorted(r.split for r in df.select("split").distinct().collect())
+                       if "split" in df.columns else "all", df.count()))
+        return score(model, df)
+
+    monkeypatch.setattr(reorder, "score_reorder", recorded)
+    run_pipeline(spark, source, target, config=Config(trees=2, depth=2, rank=2, iterations=1))
+    pairs = tables.prior.join(tables.orders, "order_id").select("user_id", "product_id").distinct()
+    assert [kind for kind, _ in scored] == [["test", "validation"], "all"]
+    assert scored[1][1] == pairs.count() and 0 < scored[0][1] < pairs.count()
+    quality = spark.read.parquet(f"{target}/reorder_quality").first()
+    sweep = spark.read.parquet(f"{target}/threshold_sweep").first()
+    cells = [sum(row[c] for c in ("tp", "fp", "fn", "tn")) for row in (quality, sweep)]
+    assert sum(cells) == scored[0][1]
+
+
 def test_a_failed_replacement_is_undone(spark, tmp_path, monkeypatch):
     new, target = tmp_path / "out" / "run-1", tmp_path / "out"
     for path, n in ((target / "a", 1), (target / "b", 1), (new / "a", 2), (new / "b", 2)):
